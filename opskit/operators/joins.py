@@ -139,8 +139,8 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFra
 
 
 def normalised_key(col: str, strip: Sequence[str] = (" base", " ratio", " (ms)")) -> Column:
-    """Counter name without its ending, lower case, trimmed."""
-    pattern = "(" + "|".join(s.replace("(", r"\(").replace(")", r"\)") for s in strip) + ")$"
+    """Counter name without its endings (` ratio base` too), lower case, trimmed."""
+    pattern = "(" + "|".join(s.replace("(", r"\(").replace(")", r"\)") for s in strip) + ")+$"
     return F.rtrim(F.regexp_replace(text.norm(col), pattern, ""))
 
 

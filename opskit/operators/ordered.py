@@ -65,10 +65,10 @@ def global_running_sum(df: DataFrame, value: str, order, out: str = "running") -
     offsets = _offsets(p.groupBy("_part").agg(F.sum(value).alias("_n")), "_n")
     inside = W.partitionBy("_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     return (
-        p.withColumn("_run", F.sum(value).over(inside))
+        p.withColumn("_inside", F.sum(value).over(inside))
         .join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_before") + F.col("_run"))
-        .drop("_part", "_pos", "_before", "_run")
+        .withColumn(out, F.col("_before") + F.col("_inside"))
+        .drop("_part", "_pos", "_before", "_inside")
     )
 
 
@@ -100,6 +100,15 @@ def row_number_in(df: DataFrame, by: Sequence[str], order, out: str = "row_num")
     )
 
 
+def running_sum_in(df: DataFrame, by: Sequence[str], value: str, order, out: str = "running") -> DataFrame:
+    """Running sum inside groups that may be very large."""
+    if not by:
+        return global_running_sum(df, value, order, out)
+    summed = global_running_sum(df, value, [*by, *order], "_g")
+    start = summed.groupBy(*by).agg(F.min(F.col("_g") - F.col(value)).alias("_start"))
+    return null_safe_join(summed, start, list(by), "left").withColumn(out, F.col("_g") - F.col("_start")).drop("_g", "_start")
+
+
 def ntile_in(df: DataFrame, n: int, by: Sequence[str], order, out: str = "tile") -> DataFrame:
     """NTILE(n) from row number and group size: the first ``size % n`` tiles get one more."""
     ranked = row_number_in(df, by, order, "_rn") if by else global_row_number(df, order, "_rn")
