@@ -114,3 +114,14 @@ def interleave(df: DataFrame, flag: str, size: str, tie: Sequence[str], n: int |
     tiled = ntile_in(df, int(n), [flag], order, "tile")
     numbered = row_number_in(tiled, [flag], order, "order_id")
     return global_row_number(numbered, ["tile", "order_id", flag], "position")
+
+
+def classify(rules: Sequence[tuple[str, dict]], default: str) -> Column:
+    """First rule whose {column: pattern} pairs all match, else the default class."""
+    from opskit.operators.filters import any_pattern
+
+    out = None
+    for name, pairs in rules:
+        cond = any_pattern([pairs])
+        out = F.when(cond, name) if out is None else out.when(cond, name)
+    return out.otherwise(default)
