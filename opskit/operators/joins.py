@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from opskit.functions import text
-from opskit.operators.ordered import null_safe_join, series_fill
+from opskit.operators.ordered import null_safe_join, series_fill, series_lag, series_running_sum, with_group
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Checked size bound: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Checked size bound in rows and, if those are few, in bytes of their text form."""
+    if df.count() > max_rows:
+        return False
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    return df.agg(size.alias("b")).first()["b"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven small; otherwise a shuffle join."""
+    """Broadcast hint only when the size is proven small; otherwise a shuffle join."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
@@ -62,12 +66,11 @@ def asof_join(
     cols: Sequence[str],
     direction: str = "backward",
     tie: str | None = None,
-    slice_by: Column | None = None,
 ) -> DataFrame:
     """Nearest right row at or before (``backward``) or at or after (``forward``) each left row.
 
-    Both sides are unioned into one series per key and the payload is carried along it in
-    time slices, so no pair is built and a hot key is split.  Equal right times are
+    Both sides are unioned into one series per key and the payload is carried along it, so
+    no pair is built; large inputs are cut into time slices, so a hot key is split.  Equal right times are
     resolved by ``tie`` (largest for backward, smallest for forward).
     """
     if not by:
@@ -86,7 +89,7 @@ def asof_join(
         pay.alias("_match"),
     )
     both = lhs.unionByName(rhs, allowMissingColumns=True)
-    filled = series_fill(both, by, ["_ts", "_side", "_tie"], "_match", "_hit", backward, slice_by)
+    filled = series_fill(both, by, ["_ts", "_side", "_tie"], "_match", "_hit", backward)
     return filled.filter(F.col("_row").isNotNull()).select(
         *by, *[F.col(f"_row.{c}").alias(c) for c in l_cols], *[F.col(f"_hit.{c}").alias(c) for c in cols]
     )
@@ -102,15 +105,12 @@ def bounds(df: DataFrame, ts: str, start, end, by: Sequence[str] = ()) -> DataFr
 
 def to_ranges(points: DataFrame, point: str, by: Sequence[str] = ()) -> DataFrame:
     """Consecutive distinct points of a key to (lower, upper, range_id, last range flag)."""
-    w = W.partitionBy(*by).orderBy(point)
-    lead = (
-        points.select(*by, F.col(point)).distinct()
-        .withColumn("upper", F.lead(point).over(w))
-        .withColumn("range_id", F.row_number().over(w))
-        .filter("upper is not null")
-    )
-    is_last = F.col("range_id") == F.max("range_id").over(W.partitionBy(*by))
-    return lead.select(*by, "range_id", F.col(point).alias("lower"), "upper", is_last.alias("is_last"))
+    p = points.select(*by, F.col(point)).filter(F.col(point).isNotNull()).distinct()
+    p = series_lag(p, by, [point], [point], "next_", lead=True)
+    p = series_running_sum(p, by, [point], F.lit(1).cast("bigint"), "range_id")
+    p = with_group(p, by, _end=F.max(point)).filter(F.col(f"next_{point}").isNotNull())
+    upper = F.col(f"next_{point}")
+    return p.select(*by, "range_id", F.col(point).alias("lower"), upper.alias("upper"), (upper == F.col("_end")).alias("is_last"))
 
 
 def range_join(samples: DataFrame, ranges: DataFrame, by: Sequence[str], ts: str, tie: str | None = None) -> DataFrame:

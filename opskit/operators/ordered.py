@@ -5,8 +5,9 @@ Two techniques are used instead of one large window:
 * a *global* order is computed on a range-partitioned copy: every task numbers its own
   range, and the per-range totals (one row per partition) give the offsets;
 * a *series* order (lag, fill-forward, running sum inside a key) is cut into time
-  slices.  Each slice starts with one seed row that carries the state of the earlier
-  slices, so a key with a third of all rows is spread over all its slices.
+  slices of equal row count once the input is large.  Each slice starts with one seed row
+  that carries the state of the earlier slices, so a key with a third of all rows is
+  spread over a third of all slices.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from opskit.functions.clock import epoch_us
 from opskit.session import durable
 
 _LOW33 = (1 << 33) - 1
@@ -172,81 +174,99 @@ def with_group(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
 
 # -- series order -----------------------------------------------------------------------
 
-
-def time_slice(ts: str, width: str = "hour") -> Column:
-    return F.date_trunc(width, F.col(ts))
-
-
-def _seeded(rows: DataFrame, keys: Sequence[str], seeds: DataFrame) -> DataFrame:
-    body = rows.withColumn("_seed", F.lit(1))
-    head = seeds.select(*keys, "_slice", F.col("_carry").alias("_pay"), F.lit(0).alias("_seed"))
-    return body.unionByName(head.filter("_pay is not null"), allowMissingColumns=True)
+# A series operator works on whole series while the input is small.  Above this many rows
+# it cuts time into slices that hold equally many rows of the whole input, so that no
+# (key, slice) group exceeds one slice, however the rows are spread over keys and time.
+ROWS_PER_SLICE = 4_000_000
+MAX_SLICES = 8_192
+
+
+def slice_bounds(df: DataFrame, ts: str) -> list[int]:
+    """Inner slice edges in microseconds (at most ``MAX_SLICES - 1`` numbers); none for small input."""
+    wanted, n = -(-df.count() // ROWS_PER_SLICE), 1
+    while n < min(wanted, MAX_SLICES):
+        n *= 2
+    if n == 1:
+        return []
+    edges = F.percentile_approx(epoch_us(ts), [i / n for i in range(1, n)], max(10_000, 4 * n))
+    found = df.agg(edges.alias("e")).first()["e"] or []
+    return sorted(set(found))
+
+
+def with_slice(df: DataFrame, ts: str, bounds: Sequence[int]) -> DataFrame:
+    """Add ``_slice``, the number of edges at or before the time (a binary search)."""
+    size = 1
+    while size - 1 < len(bounds):
+        size *= 2
+    edges = F.lit([*bounds, *[2**63 - 1] * (size - 1 - len(bounds))])
+    out, step = df.withColumn("_us", epoch_us(ts)).withColumn("_slice", F.lit(0)), size // 2
+    while step:
+        here = F.get(edges, F.col("_slice") + (step - 1))
+        out = out.withColumn("_slice", F.col("_slice") + F.when(F.col("_us") >= here, step).otherwise(0))
+        step //= 2
+    return out.drop("_us")
+
+
+def _series(df: DataFrame, keys: Sequence[str], ts: str, carry) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows ready for a window inside their series: (rows, partition columns, leading order).
+
+    With slices, every slice gets one seed row (``_seed`` 0) whose ``_pay`` is the state
+    ``carry`` computes from the other slices of the key.
+    """
+    bounds = slice_bounds(df, ts)
+    if not bounds:
+        return df.withColumn("_seed", F.lit(1)), list(keys), []
+    d = with_slice(df, ts, bounds)
+    seeds = carry(d).select(*keys, "_slice", F.col("_carry").alias("_pay"), F.lit(0).alias("_seed")).filter("_pay is not null")
+    return d.withColumn("_seed", F.lit(1)).unionByName(seeds, allowMissingColumns=True), [*keys, "_slice"], ["_seed"]
 
 
 def series_lag(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cols: Sequence[str],
-    prefix: str = "prev_",
-    slice_by: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], prefix: str = "prev_", lead: bool = False
 ) -> DataFrame:
-    """LAG of several columns inside a series; ``order[0]`` is the time column."""
-    slice_by = time_slice(order[0]) if slice_by is None else slice_by
-    d = df.withColumn("_slice", slice_by).withColumn("_pay", F.struct(*cols))
-    last = d.groupBy(*keys, "_slice").agg(F.max_by("_pay", F.struct(*order)).alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy("_slice")))
-    w = W.partitionBy(*keys, "_slice").orderBy("_seed", *order)
-    out = _seeded(d, keys, carry).withColumn("_prev", F.lag("_pay").over(w)).filter("_seed = 1")
+    """LAG (or LEAD) of several columns inside a series; ``order[0]`` is the time column."""
+    sort = (lambda c: F.col(c).desc()) if lead else (lambda c: F.col(c).asc())
+    pick = F.min_by if lead else F.max_by
+
+    def carry(d: DataFrame) -> DataFrame:
+        edge = d.groupBy(*keys, "_slice").agg(pick("_pay", F.struct(*order)).alias("_edge"))
+        return edge.withColumn("_carry", F.lag("_edge").over(W.partitionBy(*keys).orderBy(sort("_slice"))))
+
+    rows, part, head = _series(df.withColumn("_pay", F.struct(*cols)), keys, order[0], carry)
+    w = W.partitionBy(*part).orderBy(*head, *[sort(c) for c in order])
+    out = rows.withColumn("_prev", F.lag("_pay").over(w)).filter("_seed = 1")
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_prev.{c}"))
     return out.drop("_seed", "_slice", "_pay", "_prev")
 
 
-def series_running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slice_by: Column | None = None
-) -> DataFrame:
+def series_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str) -> DataFrame:
     """Inclusive running sum inside a series."""
-    slice_by = time_slice(order[0]) if slice_by is None else slice_by
-    d = df.withColumn("_slice", slice_by).withColumn("_pay", F.col(value))
-    total = d.groupBy(*keys, "_slice").agg(F.sum("_pay").alias("_total"))
-    before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    carry = total.withColumn("_carry", F.sum("_total").over(before))
-    w = W.partitionBy(*keys, "_slice").orderBy("_seed", *order).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        _seeded(d, keys, carry)
-        .withColumn(out, F.sum("_pay").over(w))
-        .filter("_seed = 1")
-        .drop("_seed", "_slice", "_pay")
-    )
+
+    def carry(d: DataFrame) -> DataFrame:
+        total = d.groupBy(*keys, "_slice").agg(F.sum("_pay").alias("_total"))
+        before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+        return total.withColumn("_carry", F.sum("_total").over(before))
+
+    pay = F.col(value) if isinstance(value, str) else value
+    rows, part, head = _series(df.withColumn("_pay", pay), keys, order[0], carry)
+    w = W.partitionBy(*part).orderBy(*head, *order).rowsBetween(W.unboundedPreceding, 0)
+    return rows.withColumn(out, F.sum("_pay").over(w)).filter("_seed = 1").drop("_seed", "_slice", "_pay")
 
 
 def series_fill(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    payload: str,
-    out: str,
-    backward: bool = True,
-    slice_by: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: str, out: str, backward: bool = True
 ) -> DataFrame:
     """Nearest earlier (``backward``) or later non-null ``payload``, the row itself included."""
-    slice_by = time_slice(order[0]) if slice_by is None else slice_by
     sort = (lambda c: F.col(c).asc()) if backward else (lambda c: F.col(c).desc())
     pick = F.max_by if backward else F.min_by
-    d = df.withColumn("_slice", slice_by).withColumn("_pay", F.col(payload))
-    known = F.when(F.col("_pay").isNotNull(), F.struct(*order))
-    edge = d.groupBy(*keys, "_slice").agg(pick("_pay", known).alias("_last"))
-    before = W.partitionBy(*keys).orderBy(sort("_slice")).rowsBetween(W.unboundedPreceding, -1)
-    carry = edge.withColumn("_carry", F.last("_last", ignorenulls=True).over(before))
-    w = (
-        W.partitionBy(*keys, "_slice")
-        .orderBy("_seed", *[sort(c) for c in order])
-        .rowsBetween(W.unboundedPreceding, 0)
-    )
-    return (
-        _seeded(d, keys, carry)
-        .withColumn(out, F.last("_pay", ignorenulls=True).over(w))
-        .filter("_seed = 1")
-        .drop("_seed", "_slice", "_pay")
-    )
+
+    def carry(d: DataFrame) -> DataFrame:
+        known = F.when(F.col("_pay").isNotNull(), F.struct(*order))
+        edge = d.groupBy(*keys, "_slice").agg(pick("_pay", known).alias("_edge"))
+        before = W.partitionBy(*keys).orderBy(sort("_slice")).rowsBetween(W.unboundedPreceding, -1)
+        return edge.withColumn("_carry", F.last("_edge", ignorenulls=True).over(before))
+
+    rows, part, head = _series(df.withColumn("_pay", F.col(payload)), keys, order[0], carry)
+    w = W.partitionBy(*part).orderBy(*head, *[sort(c) for c in order]).rowsBetween(W.unboundedPreceding, 0)
+    return rows.withColumn(out, F.last("_pay", ignorenulls=True).over(w)).filter("_seed = 1").drop("_seed", "_slice", "_pay")

@@ -30,7 +30,6 @@ def counter_delta(
     min_gap: int | None = 1,
     max_gap: int | None = 60,
     monotone: Sequence[str] | None = None,
-    slice_by: Column | None = None,
 ) -> DataFrame:
     """Change of each counter since the previous sample of its series.
 
@@ -39,7 +38,7 @@ def counter_delta(
     value itself after a fall.  Gaps are in crossed minutes, None for no limit.
     """
     monotone = list(values if monotone is None else monotone)
-    d = series_lag(df, keys, [ts, *tie], [ts, *values], slice_by=slice_by)
+    d = series_lag(df, keys, [ts, *tie], [ts, *values])
     d = d.withColumn("elapsed_seconds", clock.datediff_boundary("second", f"prev_{ts}", ts))
     first = F.col(f"prev_{ts}").isNull()
     if on_reset == "restart":

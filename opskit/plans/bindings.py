@@ -63,7 +63,7 @@ WAIT_STATS = f"""(SELECT user_id % 10 AS server_id, date_trunc('day', ts)::TIMES
 
 
 def sessions(db) -> DataFrame:
-    """Who-is-active snapshots: one snapshot per conversation, one session per turn."""
+    """Session snapshots: one snapshot per conversation, one session per turn."""
     return db.conversations.select(
         minutes_after("2024-01-01 00:00:00", F.col("conv_id")).alias("collection_time"), F.col("conv_id").alias("snapshot"),
         (F.col("turn") + 51).alias("session_id"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from opskit.functions import clock, text, units
 from opskit.operators.aggregates import counts_per_key, string_agg, top_k
 from opskit.operators.joins import attach_scalar, head_to_head as duel
-from opskit.operators.ordered import global_row_number
+from opskit.operators.ordered import global_row_number, row_number_in
 
 E = F.expr
 
@@ -287,16 +287,20 @@ def popular_ratio(t, badge: str, min_badges: int = 10, k: int = 100) -> DataFram
     return top_k(d, [F.col("ratio").desc()], k, ["id"])
 
 
-def duplicate_accounts(t, min_reputation: int = 1000) -> DataFrame:
-    """Accounts sharing an e-mail hash, listed by falling reputation."""
-    label = F.concat(F.col("id").cast("string"), F.lit(" ("), F.col("display_name"), F.lit(" "), F.col("reputation").cast("string"), F.lit(")"))
-    rank = F.struct((-F.col("reputation")).alias("r"), F.col("id").alias("i"))
+def duplicate_accounts(t, min_reputation: int = 1000, per_part: int = 1000) -> DataFrame:
+    """Accounts sharing an e-mail hash, listed by falling reputation.
+
+    Lists longer than ``per_part`` continue in further rows, so no cell grows with its group.
+    """
     active = F.count_if(F.col("reputation") > 10)
     sizes = t.users.filter("email_hash is not null").groupBy("email_hash").agg(
         F.count("*").alias("accounts"), F.sum("reputation").alias("_rep"), active.alias("_active"))
     hit = sizes.filter((F.col("accounts") > 1) & (F.col("_rep") > min_reputation) & (F.col("_active") > 1)).select("email_hash", "accounts")
-    # the list itself is the report's cell; only groups that qualify are gathered
-    return t.users.join(hit, "email_hash").groupBy("email_hash", "accounts").agg(string_agg(label, ", ", rank).alias("ids_and_names"))
+    order = [F.col("reputation").desc(), F.col("id").asc()]
+    ranked = row_number_in(t.users.join(hit, "email_hash"), ["email_hash"], order, "_rn")
+    label = F.concat(F.col("id").cast("string"), F.lit(" ("), F.col("display_name"), F.lit(" "), F.col("reputation").cast("string"), F.lit(")"))
+    part = F.floor((F.col("_rn") - 1) / per_part).cast("bigint").alias("part")
+    return ranked.groupBy("email_hash", "accounts", part).agg(string_agg(label, ", ", F.col("_rn")).alias("ids_and_names"))
 
 
 def self_accept_rate(t, min_accepted: int = 10, k: int = 100) -> DataFrame:

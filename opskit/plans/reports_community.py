@@ -204,7 +204,7 @@ def _(t):
     return cm.popular_ratio(t, "view")
 
 
-@j("J30_duplicate_accounts", """SELECT email_hash, count(*) AS accounts, string_agg(id || ' (' || display_name || ' ' || reputation || ')', ', ' ORDER BY reputation DESC, id) AS ids_and_names FROM users WHERE email_hash IS NOT NULL GROUP BY 1 HAVING count(*) > 1 AND sum(reputation) > 1000 AND count(*) FILTER (reputation > 10) > 1""")
+@j("J30_duplicate_accounts", """SELECT email_hash, count(*) AS accounts, 0 AS part, string_agg(id || ' (' || display_name || ' ' || reputation || ')', ', ' ORDER BY reputation DESC, id) AS ids_and_names FROM users WHERE email_hash IS NOT NULL GROUP BY 1 HAVING count(*) > 1 AND sum(reputation) > 1000 AND count(*) FILTER (reputation > 10) > 1""")
 def _(t):
     return cm.duplicate_accounts(t)
 

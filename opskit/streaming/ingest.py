@@ -6,8 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opskit.operators.ordered import null_safe_join
-
 
 def file_stream(spark: SparkSession, path: str, schema, ts: str | None = None, per_trigger: int | None = None) -> DataFrame:
     """Parquet file stream; a zone-less ``ts`` becomes an instant so that it can carry a watermark."""
@@ -54,8 +52,10 @@ def stream_rollup(stream: DataFrame, keys: Sequence[str], ts: str, minutes: int,
 def stream_heartbeat(stream: DataFrame, keys: Sequence[str], ts: str, minutes: int, delay: str) -> DataFrame:
     """Silence alerts: activity that ended and was followed by ``minutes`` without a message.
 
-    A session window closes exactly when its key stayed silent that long.
+    A session window closes exactly when its key stayed silent that long.  Sessions are
+    merged inside each input partition before the shuffle, so a hot key arrives condensed.
     """
+    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     gap = f"{minutes} minutes"
     return (
         stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), *keys).agg(F.count("*").alias("messages"))
@@ -115,7 +115,3 @@ def late_counter(stream: DataFrame, ts: str, delay_minutes: int, checkpoint: str
         out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{metrics_path}/batch={batch_id}")
 
     drain_batches(stream, checkpoint, handle)
-
-
-def unseen(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return null_safe_join(batch, table.select(*keys), keys, "left_anti")
