@@ -34,9 +34,12 @@ DEADLOCK_SCHEMA = f"""_name string, _timestamp string, data array<struct<_name:
 
 
 def parse(df: DataFrame, col: str, schema: str) -> DataFrame:
-    """Parse the document once; ``time`` is its timestamp."""
-    doc = df.withColumn("doc", F.from_xml(F.col(col), schema, XML))
-    return doc.withColumn("time", F.to_timestamp_ntz(F.col("doc._timestamp")))
+    """Parse the document once; ``time`` is its timestamp.
+
+    The one-element explode keeps later filters from being rewritten into further parses.
+    """
+    doc = F.explode(F.array(F.from_xml(F.col(col), schema, XML)))
+    return df.select("*", doc.alias("doc")).withColumn("time", F.to_timestamp_ntz(F.col("doc._timestamp")))
 
 
 def data_value(name: str, part: str = "value", section: str = "data") -> Column:

@@ -11,6 +11,7 @@ from opskit.operators.aggregates import union_all
 from opskit.operators.filters import IGNORABLE_WAITS, exclude_values, one_per_bucket
 from opskit.operators.joins import asof_join, broadcast_if_small, normalised_key
 from opskit.operators.ordered import null_safe_join, row_number_in, running_sum_in, series_lag, with_group
+from opskit.session import durable
 
 # Counter types.
 RAW_TYPES = (65792, 65536)
@@ -222,7 +223,7 @@ def wait_delta(
     either one.  Inner edges are exclusive, the outer two inclusive.  Shares and the Pareto
     cut are per range.
     """
-    ranges = clear_ranges(clears, by, clear_time, start, end)
+    ranges = durable(clear_ranges(clears, by, clear_time, start, end))  # one row per clear
     cols = ["range_id", "lower", "upper", "is_first", "is_last"]
     hit = asof_join(snapshots.filter(F.col(ts).between(start, end)), ranges, by, ts, "lower", cols)
     # the end point itself belongs to the last range, which starts earlier

@@ -7,6 +7,7 @@ from opskit.operators import rollup as ro
 from opskit.operators import telemetry as tm
 from opskit.plans import bindings as b
 from opskit.plans.registry import report, stamp
+from opskit.session import durable
 
 E = F.expr
 LAG = "OVER (PARTITION BY {k} ORDER BY collection_time, event_id)"
@@ -188,7 +189,7 @@ WITH s AS {b.WAIT_STATS}, clr AS (SELECT server_id, check_date + INTERVAL 6 HOUR
 SELECT server_id, range_id, wait_type, {stamp('collection_time')} AS collection_time, duration_seconds, wait_time_ms, signal_wait_time_ms, waiting_tasks_count,
  wait_time_ms * 100.0::DOUBLE / total AS percentage, run * 100.0::DOUBLE / total AS cumulative FROM f WHERE (run - wait_time_ms) * 100.0::DOUBLE / total < 95""")
 def _(db):
-    s = b.wait_stats(db)
+    s = durable(b.wait_stats(db))  # daily sums, read several times
     at = F.col("check_date") + E("interval 6 hours")
     clears = s.filter("wait_type = 'SLEEP_TASK' and waiting_tasks_count % 3 = 0").select("server_id", at.alias("cleared"))
     every = s.select("server_id", F.lit(None).cast("timestamp_ntz").alias("cleared")).distinct()  # servers without a clear

@@ -35,6 +35,11 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Even out rows over the configured number of shuffle partitions (not coalesced again)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, inside the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"

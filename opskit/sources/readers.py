@@ -11,6 +11,7 @@ from opskit.functions import clock
 from opskit.operators.aggregates import union_sources
 from opskit.operators.joins import broadcast_if_small
 from opskit.operators.ordered import global_row_number
+from opskit.session import durable
 from opskit.sources.schemas import TRACE
 
 CPU_RING = """_id bigint,
@@ -40,7 +41,7 @@ def read_xml_events(spark: SparkSession, path_glob: str, row_tag: str, schema: s
     )
     if not numbered:
         return df
-    placed = df.withColumn("pos", F.monotonically_increasing_id())
+    placed = durable(df.withColumn("pos", F.monotonically_increasing_id()))  # parse the files once
     return global_row_number(placed, ["file", "block", "pos"], "event_no").drop("block", "pos")
 
 
