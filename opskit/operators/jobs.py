@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opskit.functions import clock
 from opskit.operators.filters import RUN_STATUS, decode
-from opskit.operators.ordered import first_per_key, global_row_number, ntile_in, row_number_in, top_per_key
-from opskit.operators.reshape import bucket_counts
+from opskit.operators.ordered import first_per_key, global_row_number, ntile_in, top_per_key
 
 # Lower bounds in hours of the duration buckets.
 HOURS = (48, 36, 24, 18, 12, 9, 6, 3)
@@ -30,9 +29,8 @@ def duration_bucket(minutes: Column) -> Column:
 def duration_histogram(history: DataFrame) -> DataFrame:
     """Runs per job and duration bucket, with the newest run id."""
     runs = history.filter("step_id = 0").withColumn("bucket", duration_bucket(clock.hhmmss_to_minutes("run_duration")))
-    counts = bucket_counts(runs, "job_name", "bucket", BUCKETS)
-    newest = runs.groupBy("job_name").agg(F.max("instance_id").alias("instance_id"))
-    return counts.join(newest, "job_name")
+    counts = [F.count(F.when(F.col("bucket") == b, 1)).alias(b) for b in BUCKETS]
+    return runs.groupBy("job_name").agg(F.max("instance_id").alias("instance_id"), *counts)
 
 
 def merge_histogram(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -111,9 +109,8 @@ def interleave(df: DataFrame, flag: str, size: str, tie: Sequence[str], n: int |
         smaller = df.groupBy(flag).agg(F.count("*").alias("c"))
         pair = smaller.agg(F.min("c").alias("c"), F.count("*").alias("k")).first()
         n = pair["c"] if pair["k"] > 1 else 50
-    tiled = ntile_in(df, int(n), [flag], order, "tile")
-    numbered = row_number_in(tiled, [flag], order, "order_id")
-    return global_row_number(numbered, ["tile", "order_id", flag], "position")
+    tiled = ntile_in(df, int(n), [flag], order, "tile", rank_out="order_id")
+    return global_row_number(tiled, ["tile", "order_id", flag], "position")
 
 
 def classify(rules: Sequence[tuple[str, dict]], default: str) -> Column:

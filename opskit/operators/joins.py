@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opskit.functions import text
 from opskit.operators.ordered import null_safe_join, series_fill, series_lag, series_running_sum, with_group
+from opskit.session import durable
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -131,11 +132,11 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFra
     """
     facts = other.agg(
         F.coalesce(F.max(F.col(other_col).isNull()), F.lit(False)).alias("has_null"), F.count("*").alias("n")
-    )
+    ).select(F.struct("has_null", "n")).scalar()
     keys = other.select(F.col(other_col).alias("_k")).filter("_k is not null").distinct()
     kept = df.join(keys, F.col(col) == F.col("_k"), "left_anti")
-    no_rows = facts.select("n").scalar() == 0
-    return kept.filter(no_rows | (~facts.select("has_null").scalar() & F.col(col).isNotNull()))
+    kept = kept.withColumn("_f", facts)
+    return kept.filter((F.col("_f.n") == 0) | (~F.col("_f.has_null") & F.col(col).isNotNull())).drop("_f")
 
 
 def normalised_key(col: str, strip: Sequence[str] = (" base", " ratio", " (ms)")) -> Column:
@@ -170,28 +171,31 @@ def contains_join(
     tokens = lambda c: F.split(c, r"[^\p{L}\p{N}]+")
     inner = F.slice(tokens(F.col("_term")), F.lit(2), F.greatest(F.size(tokens(F.col("_term"))) - 2, F.lit(0)))
     seed = F.array_max(F.transform(F.filter(inner, lambda x: x != ""), lambda x: F.struct(F.length(x), x.alias("w"))))["w"]
-    seeded = t.withColumn("_seed", seed)
-    by_token = base.select(text_id, "_text", F.explode(F.array_distinct(tokens(F.col("_text")))).alias("_seed")).join(
-        seeded.filter("_seed is not null"), "_seed"
-    )
-    rest = seeded.filter("_seed is null").drop("_seed")
     q = 6
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("_text") - q + 1, F.lit(1))), lambda i: F.col("_text").substr(i, F.lit(q))
-    )
-    by_gram = base.select(text_id, "_text", F.explode(F.array_distinct(grams)).alias("_seed")).join(
-        rest.filter(F.length("_term") >= q).withColumn("_seed", F.substring("_term", 1, q)), "_seed"
-    )
-    short = rest.filter(F.length("_term") < q).withColumn("_w", F.length("_term"))
+    seeded = durable(t.withColumn("_seed", seed).withColumn(
+        "_kind", F.when(F.col("_seed").isNotNull(), "token").when(F.length("_term") >= q, "gram").otherwise("cut")))
+
+    def cut(width) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - width + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.col("_text").substr(i, F.lit(width) if isinstance(width, int) else width))
+
     widths = F.array(*[F.lit(i) for i in range(1, q)])
-    cuts = F.flatten(
-        F.transform(widths, lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))),
-                                                  lambda i: F.col("_text").substr(i, n)))
-    )
-    by_cut = base.select(text_id, "_text", F.explode(F.array_distinct(cuts)).alias("_term")).join(short, "_term")
-    pick = [text_id, "_text", "_tid", "_term"]
-    hits = by_token.select(*pick).unionByName(by_gram.select(*pick)).unionByName(by_cut.select(*pick))
-    return hits.filter(F.contains("_text", F.col("_term"))).select(text_id, F.col("_tid").alias(term_id)).distinct()
+    ways = {
+        "token": (tokens(F.col("_text")), F.col("_seed")),
+        "gram": (cut(q), F.substring("_term", 1, q)),
+        "cut": (F.flatten(F.transform(widths, cut)), F.col("_term")),
+    }
+    candidates = None
+    for kind, (pieces, key) in ways.items():
+        some = seeded.filter(F.col("_kind") == kind)
+        if some.isEmpty():
+            continue
+        # only the id travels with the pieces; the text joins again for the few candidates
+        part = base.select(text_id, F.explode(F.array_distinct(pieces)).alias("_seed")).join(
+            some.select("_tid", "_term", key.alias("_seed")), "_seed").select(text_id, "_tid", "_term").distinct()
+        candidates = part if candidates is None else candidates.unionByName(part)
+    hits = base.join(candidates, text_id).filter(F.contains("_text", F.col("_term")))
+    return hits.select(text_id, F.col("_tid").alias(term_id))
 
 
 def ancestor_prefixes(path: Column | str, sep: str) -> Column:

@@ -111,14 +111,16 @@ def running_sum_in(df: DataFrame, by: Sequence[str], value: str, order, out: str
     return null_safe_join(summed, start, list(by), "left").withColumn(out, F.col("_g") - F.col("_start")).drop("_g", "_start")
 
 
-def ntile_in(df: DataFrame, n: int, by: Sequence[str], order, out: str = "tile") -> DataFrame:
-    """NTILE(n) from row number and group size: the first ``size % n`` tiles get one more."""
+def ntile_in(df: DataFrame, n: int, by: Sequence[str], order, out: str = "tile", rank_out: str | None = None) -> DataFrame:
+    """NTILE(n) from row number and group size: the first ``size % n`` tiles get one more.
+
+    ``rank_out`` also keeps the row number.
+    """
     ranked = row_number_in(df, by, order, "_rn") if by else global_row_number(df, order, "_rn")
     if by:
-        sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-        ranked = null_safe_join(ranked, sizes, list(by), "left")
+        ranked = with_group(ranked, by, _n=F.count("*"))
     else:
-        ranked = ranked.withColumn("_n", df.agg(F.count("*")).scalar())
+        ranked = ranked.withColumn("_n", ranked.agg(F.count("*")).scalar())
     small, extra = F.expr(f"_n div {n}"), F.expr(f"_n % {n}")
     big_rows = extra * (small + 1)
     tile = F.when(
@@ -126,7 +128,8 @@ def ntile_in(df: DataFrame, n: int, by: Sequence[str], order, out: str = "tile")
     ).otherwise(
         extra + F.expr(f"(_rn - 1 - (_n % {n}) * (_n div {n} + 1)) div greatest(_n div {n}, 1)") + 1
     )
-    return ranked.withColumn(out, tile).drop("_rn", "_n")
+    ranked = ranked.withColumn(out, tile).drop("_n")
+    return ranked.drop("_rn") if rank_out is None else ranked.withColumnRenamed("_rn", rank_out)
 
 
 # -- keyed joins ------------------------------------------------------------------------

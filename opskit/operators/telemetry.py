@@ -119,9 +119,8 @@ def file_io_asof(df: DataFrame, ts: str, at, path: str) -> DataFrame:
 def delta_between(df: DataFrame, keys: Sequence[str], ts: str, start, end) -> DataFrame:
     """File statistics between the first snapshot >= start and the last one <= end."""
     d = df.filter((F.col(ts) >= start) & (F.col(ts) <= end))
-    edge = d.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    lo, hi = edge.select("lo").scalar(), edge.select("hi").scalar()
-    d = d.withColumn("_lo", lo).withColumn("_hi", hi).filter((F.col(ts) == F.col("_lo")) | (F.col(ts) == F.col("_hi")))
+    edge = d.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).select(F.struct("lo", "hi")).scalar()
+    d = d.withColumn("_edge", edge).withColumn("_lo", F.col("_edge.lo")).withColumn("_hi", F.col("_edge.hi")).filter((F.col(ts) == F.col("_lo")) | (F.col(ts) == F.col("_hi")))
     at = lambda c, t: F.max(F.when(F.col(ts) == F.col(t), F.col(c)))
     both = d.filter("_lo < _hi").groupBy(*keys).agg(
         F.max("_lo").alias("lower_time"), F.max("_hi").alias(ts),
@@ -196,7 +195,7 @@ def pareto(df: DataFrame, value: str, tie: Sequence[str], threshold: float = 95,
     if by:
         d = with_group(d, by, _total=F.sum(value))
     else:
-        d = d.withColumn("_total", df.agg(F.sum(value)).scalar())
+        d = d.withColumn("_total", d.agg(F.sum(value)).scalar())  # from the checkpoint, not from the source
     d = d.withColumn("percentage", F.col(value) * 100.0 / F.col("_total"))
     d = d.withColumn("cumulative", F.col("_run") * 100.0 / F.col("_total"))
     before = (F.col("_run") - F.col(value)) * 100.0 / F.col("_total")

@@ -160,7 +160,8 @@ def _(db):
 
 @report("E08_ntile", "SELECT p_partkey, ntile(7) OVER (PARTITION BY p_type ORDER BY p_retailprice DESC, p_partkey) AS tile FROM part")
 def _(db):
-    return od.ntile_in(db.part, 7, ["p_type"], [F.col("p_retailprice").desc(), F.col("p_partkey").asc()]).select("p_partkey", "tile")
+    d = db.part.select("p_partkey", "p_type", "p_retailprice")
+    return od.ntile_in(d, 7, ["p_type"], [F.col("p_retailprice").desc(), F.col("p_partkey").asc()]).select("p_partkey", "tile")
 
 
 @report("E09_lag", "SELECT event_id, lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev_value FROM events")
