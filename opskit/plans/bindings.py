@@ -186,13 +186,13 @@ COMMENTS = """(SELECT doc_id AS id, doc_id % 150 AS user_id, doc_id AS post_id,
 
 
 def post_links(db) -> DataFrame:
-    return db.orders.filter("o_orderkey % 3 = 0").select(
+    return db.orders.select(
         F.col("o_orderkey").alias("post_id"), (F.col("o_orderkey") - 3).alias("related_post_id"),
         E("CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END").alias("link_type_id"))
 
 
 POST_LINKS = """(SELECT o_orderkey AS post_id, o_orderkey - 3 AS related_post_id,
- CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END AS link_type_id FROM orders WHERE o_orderkey % 3 = 0)"""
+ CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END AS link_type_id FROM orders)"""
 
 
 def post_history(db) -> DataFrame:
@@ -249,15 +249,15 @@ VOLUMES = """(SELECT 'E:/' || source || '/' AS volume, (sum(n_chars) * 10)::BIGI
 
 
 def inventory_target(db) -> DataFrame:
-    return db.customer.filter("c_custkey % 3 <> 0").select(
+    return db.customer.filter("c_acctbal >= 0").select(
         F.col("c_custkey").alias("server_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("env"), F.col("c_nationkey").cast("bigint").alias("ram"))
 
 
-INV_TARGET = "(SELECT c_custkey AS server_id, c_name AS name, c_mktsegment AS env, c_nationkey::BIGINT AS ram FROM customer WHERE c_custkey % 3 <> 0)"
+INV_TARGET = "(SELECT c_custkey AS server_id, c_name AS name, c_mktsegment AS env, c_nationkey::BIGINT AS ram FROM customer WHERE c_acctbal >= 0)"
 
 
 def inventory_source(db) -> DataFrame:
-    return db.customer.filter("c_custkey % 4 <> 0").select(
+    return db.customer.filter("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").alias("server_id"), F.col("c_name").alias("name"),
         E("CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'RETIRED' ELSE c_mktsegment END").alias("env"),
         E("CASE WHEN c_custkey % 11 = 0 THEN c_nationkey + 100 ELSE c_nationkey END").cast("bigint").alias("ram"))
@@ -265,7 +265,7 @@ def inventory_source(db) -> DataFrame:
 
 INV_SOURCE = """(SELECT c_custkey AS server_id, c_name AS name,
  CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'RETIRED' ELSE c_mktsegment END AS env,
- (CASE WHEN c_custkey % 11 = 0 THEN c_nationkey + 100 ELSE c_nationkey END)::BIGINT AS ram FROM customer WHERE c_custkey % 4 <> 0)"""
+ (CASE WHEN c_custkey % 11 = 0 THEN c_nationkey + 100 ELSE c_nationkey END)::BIGINT AS ram FROM customer WHERE c_mktsegment <> 'BUILDING')"""
 
 
 def staging(db) -> DataFrame:
@@ -285,11 +285,11 @@ STAGING = """(SELECT o_custkey AS server_id, 'db' || (o_orderkey % 4) AS databas
 def token_header(db) -> DataFrame:
     return db.orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("pub"), F.col("o_custkey") % 50).alias("publication"),
-        F.col("o_orderdate").alias("publisher_commit"), (F.col("o_orderstatus") != "P").alias("is_processed"))
+        F.col("o_orderdate").alias("publisher_commit"), E("o_orderstatus <> 'P' or o_custkey % 50 < 5").alias("is_processed"))
 
 
 TOKEN_HEADER = """(SELECT o_orderkey AS id, 'pub' || (o_custkey % 50) AS publication, o_orderdate AS publisher_commit,
- o_orderstatus <> 'P' AS is_processed FROM orders)"""
+ o_orderstatus <> 'P' OR o_custkey % 50 < 5 AS is_processed FROM orders)"""
 
 
 def token_history(db) -> DataFrame:

@@ -24,11 +24,11 @@ def _(db):
 
 
 @report("I48_merge_histogram", f"""
-WITH o AS {hist_sql("instance_id < 9000")}, n AS {hist_sql("instance_id >= 9000")}
+WITH o AS {hist_sql("run_date < 19980101")}, n AS {hist_sql("run_date >= 19980101")}
 SELECT job_name, coalesce(n.instance_id, o.instance_id) AS instance_id, {", ".join(f'coalesce(o."{c}", 0) + coalesce(n."{c}", 0) AS "{c}"' for c in jb.BUCKETS)} FROM o FULL JOIN n USING (job_name)""")
 def _(db):
     h = b.job_history(db)
-    return jb.merge_histogram(jb.duration_histogram(h.filter("instance_id < 9000")), jb.duration_histogram(h.filter("instance_id >= 9000")))
+    return jb.merge_histogram(jb.duration_histogram(h.filter("run_date < 19980101")), jb.duration_histogram(h.filter("run_date >= 19980101")))
 
 
 @report("I49_last_duration", f"""
@@ -163,13 +163,13 @@ def _(db):
 
 
 @report("I61_next_in_chain", f"""
-WITH k AS {BK}, a AS (SELECT db_name, arg_max(path, id) AS last_file, arg_max(start_time, id) AS last_start, arg_max(start_time, id) AS last_log FROM k WHERE type = 'L' AND id % 2 = 0 AND db_name <> 'db5' GROUP BY 1),
+WITH k AS {BK}, a AS (SELECT db_name, arg_max(path, id) AS last_file, arg_max(start_time, id) AS last_start, arg_max(start_time, id) AS last_log FROM k WHERE type = 'L' AND start_time < TIMESTAMP '1996-06-01' GROUP BY 1),
  f AS (SELECT db_name, min(start_time) AS last_full FROM k WHERE type = 'D' GROUP BY 1)
 SELECT k.db_name, k.id FROM k LEFT JOIN (SELECT * FROM a LEFT JOIN f USING (db_name)) x USING (db_name) WHERE k.type = 'L'
  AND (CASE WHEN coalesce(last_full >= last_log, false) THEN NULL ELSE last_file END IS NULL OR (k.start_time >= last_start AND k.path <> last_file))""")
 def _(db):
     k = backups(db)
-    last = k.filter("type = 'L' and id % 2 = 0 and db_name <> 'db5'").groupBy("db_name").agg(
+    last = k.filter("type = 'L' and start_time < timestamp_ntz'1996-06-01'").groupBy("db_name").agg(
         F.max_by("path", "id").alias("last_file"), F.max_by("start_time", "id").alias("last_start"), F.max_by("start_time", "id").alias("last_log"))
     full = k.filter("type = 'D'").groupBy("db_name").agg(F.min("start_time").alias("last_full"))
     logs = k.filter("type = 'L'").withColumnRenamed("path", "file_name")

@@ -124,18 +124,18 @@ def _(db):
 # -- sinks ------------------------------------------------------------------------------
 
 
-@report("K01_append_samples", "SELECT user_id, value, CASE WHEN event_id % 2 = 0 THEN '2024-02-01' ELSE '2024-02-02' END AS date FROM events")
+@report("K01_append_samples", "SELECT user_id, value, CASE WHEN event_type = 'click' THEN '2024-02-01' ELSE '2024-02-02' END AS date FROM events")
 def _(db):
     path = scratch_path(db.spark, "samples")
-    for part, at in ((0, "2024-02-01 06:00:00"), (1, "2024-02-02 06:00:00")):
-        wr.append_samples(db.events.filter(f"event_id % 2 = {part}").select("user_id", "value"), path, b.lit_ts(at))
+    for part, at in (("=", "2024-02-01 06:00:00"), ("<>", "2024-02-02 06:00:00")):
+        wr.append_samples(db.events.filter(f"event_type {part} 'click'").select("user_id", "value"), path, b.lit_ts(at))
     return db.spark.read.parquet(path).select("user_id", "value", F.col("date").cast("date").alias("date"))
 
 
 @report("K02_append_new", "SELECT event_id, event_type FROM events")
 def _(db):
     path = scratch_path(db.spark, "append-new")
-    for cond in ("event_id % 3 < 2", "event_id % 3 > 0", "event_id % 3 = 1"):
+    for cond in ("event_type in ('click', 'error')", "event_type <> 'click'", "event_type = 'view'"):
         wr.append_new(db.events.filter(cond).select("event_id", "event_type"), path, ["event_id"])
     return db.spark.read.parquet(path)
 
@@ -144,7 +144,7 @@ def _(db):
 def _(db):
     path = scratch_path(db.spark, "latest")
     order = [F.col("ts").desc(), F.col("event_id").desc()]
-    wr.overwrite_latest(db.events.filter("event_id < 500"), path, ["user_id"], order)
+    wr.overwrite_latest(db.events.filter("ts < timestamp_ntz'2024-01-10'"), path, ["user_id"], order)
     wr.overwrite_latest(db.events, path, ["user_id"], order)
     return db.spark.read.parquet(path).select("user_id", "event_id")
 
@@ -153,8 +153,8 @@ def _(db):
 def _(db):
     root = scratch_path(db.spark, "archive")
     staging, history = f"{root}/staging", f"{root}/history"
-    for part in (0, 1):
-        db.orders.filter(f"o_orderkey % 2 = {part}").select("o_orderkey").write.mode("overwrite").parquet(staging)
+    for status in ("F", "O", "P"):
+        db.orders.filter(F.col("o_orderstatus") == status).select("o_orderkey").write.mode("overwrite").parquet(staging)
         wr.archive_and_clear(db.spark, staging, history, ["o_orderkey"])
     read = lambda p, z: db.spark.read.parquet(p).withColumn("zone", F.lit(z))
     return read(history, "history").unionByName(read(staging, "staging"))
@@ -176,22 +176,19 @@ def _(db):
 
 
 @report("K07_insert_missing", f"""
-SELECT server_id, database_name, row_id FROM {b.STAGING} WHERE server_id NOT IN (SELECT server_id FROM {b.INV_TARGET}) QUALIFY row_number() OVER (PARTITION BY server_id, database_name ORDER BY row_id) = 1""")
+SELECT server_id, database_name, row_id FROM {b.STAGING} WHERE server_id NOT IN (SELECT server_id FROM {b.INV_TARGET}) QUALIFY row_number() OVER (PARTITION BY server_id ORDER BY row_id) = 1""")
 def _(db):
-    known = b.inventory_target(db).select("server_id")
-    new = b.staging(db).join(known, "server_id", "left_anti")
-    nothing = new.limit(0)
-    return wr.insert_missing(nothing, new, ["server_id", "database_name"], ["row_id"]).select("server_id", "database_name", "row_id")
+    return wr.insert_missing(b.inventory_target(db), b.staging(db), ["server_id"], ["row_id"]).select("server_id", "database_name", "row_id")
 
 
 @report("K08_load_batch", f"""
-WITH s AS {b.STAGING}, t AS (SELECT *, row_id // 5000 + 1 AS batch_number FROM s WHERE row_id < 10000), n AS (SELECT server_id, database_name, max(collection_time) AS newest FROM t GROUP BY 1, 2)
-SELECT server_id, database_name, row_id, (SELECT max(batch_number) + 1 FROM t) AS batch_number FROM s LEFT JOIN n USING (server_id, database_name) WHERE row_id >= 10000 AND (newest IS NULL OR date_diff('minute', newest, collection_time) >= 2)
+WITH s AS {b.STAGING}, t AS (SELECT *, year(collection_time) - 1994 AS batch_number FROM s WHERE collection_time < TIMESTAMP '2000-01-01'), n AS (SELECT server_id, database_name, max(collection_time) AS newest FROM t GROUP BY 1, 2)
+SELECT server_id, database_name, row_id, (SELECT max(batch_number) + 1 FROM t) AS batch_number FROM s LEFT JOIN n USING (server_id, database_name) WHERE collection_time >= TIMESTAMP '2000-01-01' AND (newest IS NULL OR date_diff('minute', newest, collection_time) >= 2)
 QUALIFY row_number() OVER (PARTITION BY server_id, database_name, collection_time ORDER BY row_id) = 1""")
 def _(db):
     s = b.staging(db)
-    target = s.filter("row_id < 10000").withColumn("batch_number", E("row_id div 5000 + 1"))
-    return wr.load_batch(target, s.filter("row_id >= 10000"), ["server_id", "database_name"], "collection_time", "row_id").select("server_id", "database_name", "row_id", "batch_number")
+    target = s.filter("collection_time < timestamp_ntz'2000-01-01'").withColumn("batch_number", F.year("collection_time") - 1994)
+    return wr.load_batch(target, s.filter("collection_time >= timestamp_ntz'2000-01-01'"), ["server_id", "database_name"], "collection_time", "row_id").select("server_id", "database_name", "row_id", "batch_number")
 
 
 @report("K09_drop_matched", f"SELECT row_id FROM {b.STAGING} WHERE server_id NOT IN (SELECT server_id FROM {b.INV_TARGET})")

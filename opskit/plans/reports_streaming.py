@@ -63,11 +63,11 @@ def _(db):
 
 
 @report("M04_late_counter", """
-SELECT 0 AS batch_id, count(*) AS total_rows, 0 AS late_rows FROM events WHERE event_id % 10 <> 0
-UNION ALL SELECT 1, count(*), count(*) FILTER (ts < (SELECT max(ts) FROM events WHERE event_id % 10 <> 0) - INTERVAL 1440 MINUTE) FROM events WHERE event_id % 10 = 0""")
+SELECT 0 AS batch_id, count(*) AS total_rows, 0 AS late_rows FROM events WHERE event_type <> 'signup'
+UNION ALL SELECT 1, count(*), count(*) FILTER (ts < (SELECT max(ts) FROM events WHERE event_type <> 'signup') - INTERVAL 1440 MINUTE) FROM events WHERE event_type = 'signup'""")
 def _(db):
     root = scratch_path(db.spark, "late")
-    ing.late_counter(events_stream(db, ["event_id % 10 <> 0", "event_id % 10 = 0"]), "ts", 1440, f"{root}/checkpoint", f"{root}/metrics")
+    ing.late_counter(events_stream(db, ["event_type <> 'signup'", "event_type = 'signup'"]), "ts", 1440, f"{root}/checkpoint", f"{root}/metrics")
     return db.spark.read.parquet(f"{root}/metrics").filter("total_rows > 0").select("batch_id", "total_rows", "late_rows")
 
 

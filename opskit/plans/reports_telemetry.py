@@ -175,7 +175,7 @@ def _(db):
 
 
 @report("I12_wait_delta", f"""
-WITH s AS {b.WAIT_STATS}, clr AS (SELECT server_id, check_date + INTERVAL 6 HOUR AS t FROM s WHERE wait_type = 'SLEEP_TASK' AND waiting_tasks_count % 3 = 0 AND check_date + INTERVAL 6 HOUR BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-28'),
+WITH s AS {b.WAIT_STATS}, clr AS (SELECT server_id, check_date + INTERVAL 6 HOUR AS t FROM s WHERE wait_type = 'SLEEP_TASK' AND isodow(check_date) = 1 AND check_date + INTERVAL 6 HOUR BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-28'),
  pts AS (SELECT server_id, t FROM clr UNION SELECT server_id, unnest([TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-28']) FROM (SELECT DISTINCT server_id FROM s)),
  rg AS (SELECT server_id, row_number() OVER w AS range_id, t AS lower, lead(t) OVER w AS upper, count(*) OVER (PARTITION BY server_id) - 1 AS nr FROM pts WINDOW w AS (PARTITION BY server_id ORDER BY t)),
  x AS (SELECT s.*, range_id FROM s JOIN rg ON s.server_id = rg.server_id AND upper IS NOT NULL AND (check_date > lower OR (range_id = 1 AND check_date = lower)) AND (check_date < upper OR (range_id = nr AND check_date = upper))),
@@ -191,7 +191,7 @@ SELECT server_id, range_id, wait_type, {stamp('collection_time')} AS collection_
 def _(db):
     s = durable(b.wait_stats(db))  # daily sums, read several times
     at = F.col("check_date") + E("interval 6 hours")
-    clears = s.filter("wait_type = 'SLEEP_TASK' and waiting_tasks_count % 3 = 0").select("server_id", at.alias("cleared"))
+    clears = s.filter("wait_type = 'SLEEP_TASK' and weekday(check_date) = 0").select("server_id", at.alias("cleared"))
     every = s.select("server_id", F.lit(None).cast("timestamp_ntz").alias("cleared")).distinct()  # servers without a clear
     return tm.wait_delta(s, clears.unionByName(every), ["server_id"], "check_date", "cleared", b.lit_ts("2024-01-03"), b.lit_ts("2024-01-28"))
 
