@@ -201,7 +201,8 @@ def with_slice(df: DataFrame, ts: str, bounds: Sequence[int]) -> DataFrame:
     size = 1
     while size - 1 < len(bounds):
         size *= 2
-    edges = F.lit([*bounds, *[2**63 - 1] * (size - 1 - len(bounds))])
+    numbers = [*bounds, *[2**63 - 1] * (size - 1 - len(bounds))]
+    edges = F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")  # one constant
     out, step = df.withColumn("_us", epoch_us(ts)).withColumn("_slice", F.lit(0)), size // 2
     while step:
         here = F.get(edges, F.col("_slice") + (step - 1))

@@ -115,10 +115,10 @@ DAYC = """day AS (SELECT user_id % 10 AS server_id, date_trunc('day', ts)::TIMES
 
 @report("I07_interpret_counters", f"""
 WITH {DAYC} SELECT server_id, {stamp('check_date')} AS check_date, counter_name, v AS cntr_value FROM (
- SELECT server_id, check_date, 'Log Flushes/sec' AS counter_name, trunc(dc * 1000 / el)::DOUBLE AS v FROM dl WHERE dc <> 0
- UNION ALL SELECT server_id, check_date, 'Average Latch Wait Time (ms)', trunc(dc / dn)::DOUBLE FROM dl WHERE dc <> 0 AND dn <> 0
- UNION ALL SELECT server_id, check_date, 'Cache Hit Ratio', round(dk / dn, 3) FROM dl WHERE dk <> 0 AND dn <> 0
- UNION ALL SELECT server_id, check_date, 'Page life expectancy', k::DOUBLE FROM dl WHERE el IS NOT NULL)""")
+ SELECT server_id, check_date, 'Log Flushes/sec' AS counter_name, trunc(dc * 1000 / el)::DOUBLE AS v FROM dl WHERE dc <> 0 AND el <= 86400
+ UNION ALL SELECT server_id, check_date, 'Average Latch Wait Time (ms)', trunc(dc / dn)::DOUBLE FROM dl WHERE dc <> 0 AND dn <> 0 AND el <= 86400
+ UNION ALL SELECT server_id, check_date, 'Cache Hit Ratio', round(dk / dn, 3) FROM dl WHERE dk <> 0 AND dn <> 0 AND el <= 86400
+ UNION ALL SELECT server_id, check_date, 'Page life expectancy', k::DOUBLE FROM dl WHERE el <= 86400)""")
 def _(db):
     d = tm.counter_delta(typed_counters(db).withColumnRenamed("check_date", "t"), ["server_id", "counter_name", "cntr_type"], "t", ["cntr_value"], max_gap=1440)
     return tm.interpret_counters(d, ["server_id"], "t").withColumnRenamed("t", "check_date")

@@ -14,8 +14,9 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("opskit-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.wholeStage", "false")  # tiny inputs: compiling costs more than running
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
