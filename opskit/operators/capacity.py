@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opskit.functions import clock, text, units
-from opskit.operators.aggregates import sum_if
 from opskit.operators.filters import BACKUP_TYPES, at_latest, decode
 from opskit.operators.joins import longest_prefix_join
 from opskit.operators.ordered import first_per_key, global_row_number, latest_per_key
@@ -117,8 +116,3 @@ def latest_paths(history: DataFrame, entity: str, kind: str, ts: str, path: str,
     last = first_per_key(history, [entity, kind], [F.col(ts).desc(), F.col(tie).desc()])
     d = last.withColumns({"backup_type": decode(kind, BACKUP_TYPES), "folder": text.dirname(path, "/"), "extension": F.right(F.col(path), F.lit(3))})
     return first_per_key(d, ["backup_type", "folder", "extension"], [entity, tie])
-
-
-def type_totals(files: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return files.groupBy(*keys).agg(
-        sum_if(F.col("type_desc") == "ROWS", F.col("size_mb")).alias("data_mb"), sum_if(F.col("type_desc") == "LOG", F.col("size_mb")).alias("log_mb"))

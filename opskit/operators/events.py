@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opskit.functions import text
 from opskit.operators.aggregates import collapse_max
 from opskit.operators.filters import any_pattern, decode, isin_csv
-from opskit.operators.ordered import global_rank, global_row_number
+from opskit.operators.ordered import global_rank
 
 XML = {"valueTag": "_text", "attributePrefix": "_"}
 
@@ -217,12 +217,3 @@ def top_statements(trace: DataFrame, by: str, k: int, classes: Sequence[int] = (
         *[weighted_avg(n, "executions").alias(f"avg_{n}") for n in names],
     )
     return top_k_ties(sums, [by], k)
-
-
-def number_events(df: DataFrame, file: str, offset: str) -> DataFrame:
-    """Event number in (file, offset) order over all files."""
-    return global_row_number(df, [file, offset], "event_no")
-
-
-def strip_statement(col: str) -> Column:
-    return text.strip_markers(col)

@@ -10,7 +10,7 @@ from opskit.functions import clock, units
 from opskit.operators.aggregates import union_all
 from opskit.operators.filters import IGNORABLE_WAITS, exclude_values, one_per_bucket
 from opskit.operators.joins import asof_join, broadcast_if_small, normalised_key
-from opskit.operators.ordered import null_safe_join, row_number_in, running_sum_in, series_lag, with_group
+from opskit.operators.ordered import null_safe_join, running_sum_in, series_lag, with_group
 from opskit.session import durable
 
 # Counter types.
@@ -272,7 +272,3 @@ def large_instances(df: DataFrame, instance: str, size_counter: str, limit) -> D
     """All rows of instances whose size counter was ever above the limit."""
     big = df.filter((F.col("counter_name") == size_counter) & (F.col("cntr_value") > limit)).select(instance).distinct()
     return df.join(big, instance, "left_semi")
-
-
-def rank_waits(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
-    return row_number_in(df, by, [F.col(value).desc(), *tie], "row_num")

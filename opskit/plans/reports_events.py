@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from opskit.operators import events as ev
-from opskit.operators import reshape as rs
 from opskit.plans import bindings as b
 from opskit.plans.registry import report, stamp
 from opskit.session import spread

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from opskit.plans import bindings as b
 from opskit.plans.registry import report, stamp
 from opskit.session import scratch_path
 from opskit.streaming import ingest as ing
