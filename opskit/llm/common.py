@@ -51,6 +51,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_OUTER = np.zeros(256, bool)
+_OUTER[[ord(c) for c in "!\"#$%&'()*,-./:;<=>?@[\\]^_`{|}~"]] = True
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -131,3 +133,26 @@ def mixed_sequence(h: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = out * np.uint64(0xD6E8FEB86659FD93) + h[k : len(h) - n + 1 + k]
     return mix(out)
+
+
+def trimmed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, start, end, words before each document) of words in lower case (A-Z) without outer ASCII punctuation."""
+    data = lowered(data)
+    start, end, before = word_ranges(data, offsets)
+    while len(end):
+        cut = (end - start > 1) & _OUTER[data[end - 1]]
+        if not cut.any():
+            break
+        end = end - cut
+    while len(start):
+        cut = (end - start > 1) & _OUTER[data[start]]
+        if not cut.any():
+            break
+        start = start + cut
+    return range_hash(prefix_hash(data), start, end), start, end, before
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the trimmed words of a text column, and the words before each document."""
+    h, _, _, before = trimmed_words(*text_bytes(column))
+    return h, before

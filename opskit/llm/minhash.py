@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from opskit.llm.common import durable, lowered, mix, mixed_sequence, prefix_hash, range_hash, ranges, text_bytes, word_ranges
 
 SHINGLE = 5
 PERCENT = 75
 #: Short hashes in a collection, and minhashes in a short hash. A pair at 0.75 shares a table with
-#: probability (1 - (1 - 0.75**3)**20)**2 > 0.9999.
-M, R = 20, 3
+#: probability (1 - (1 - 0.75**4)**22)**2 = 0.9995, one at 0.8 with 0.99998.
+M, R = 22, 4
+#: One bit of each of 256 minhashes. A pair at 0.75 differs in 32 bits on average, with a standard
+#: deviation of 5.3; pairs that differ in more than DIFFER bits (6 deviations) are not confirmed.
+BITS, DIFFER = 256, 64
+SKETCH = [f"s{i}" for i in range(BITS // 64)]
 
 
 def _shingles(data: np.ndarray, offsets: np.ndarray, size: int):
@@ -36,7 +40,8 @@ def _shingles(data: np.ndarray, offsets: np.ndarray, size: int):
 
 
 def _signatures(m: int, r: int, size: int):
-    seeds = np.random.default_rng(20_011).integers(1, 2**32, (2 * m * r, 2), dtype=np.uint64).astype(np.uint32)
+    hashes = max(2 * m * r, BITS)
+    seeds = np.random.default_rng(20_011).integers(1, 2**32, (hashes, 2), dtype=np.uint64).astype(np.uint32)
     seeds[:, 0] |= 1
 
     def run(batches):
@@ -46,24 +51,27 @@ def _signatures(m: int, r: int, size: int):
                 sets = list(_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size))
                 n = np.array([len(s) for s in sets])
                 full = np.flatnonzero(n)
-                cut = np.concatenate(([0], np.cumsum(n[full])[:-1])).astype(np.int64) if len(full) else np.zeros(0, np.int64)
                 short = np.zeros((len(sets), 2 * m), np.uint64)
                 ids = np.zeros((len(sets), 2), np.uint64)
+                sketch = np.zeros((len(sets), len(SKETCH)), np.int64)
                 if len(full):
+                    cut = np.concatenate(([0], np.cumsum(n[full])[:-1])).astype(np.int64)
                     flat = np.concatenate([sets[i] for i in full])
                     low = (flat >> np.uint64(32)).astype(np.uint32) ^ flat.astype(np.uint32)
-                    mins = np.empty((2 * m * r, len(full)), np.uint32)
+                    mins = np.empty((hashes, len(full)), np.uint32)
                     for k, (x, y) in enumerate(seeds):
                         mins[k] = np.minimum.reduceat(low * x + y, cut)
                     for k in range(2 * m):
                         short[full, k] = mixed_sequence(mins[k * r : k * r + r].T.astype(np.uint64).ravel(), r)[::r]
+                    bits = (mix(mins[:BITS].astype(np.uint64)) & np.uint64(1)).astype(np.uint8).T
+                    sketch[full] = np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.int64)
                     ids[full, 0] = np.add.reduceat(flat, cut)
                     ids[full, 1] = np.add.reduceat(mix(flat ^ np.uint64(0x5851F42D4C957F2D)), cut)
                 flat_short = pa.array(short.view(np.int64).ravel())
                 at = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (2 * m))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(ids[:, 0].view(np.int64)), pa.array(ids[:, 1].view(np.int64)), pa.ListArray.from_arrays(at, flat_short)],
-                    ["doc_id", "n_shingles", "set1", "set2", "short"],
+                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(ids[:, 0].view(np.int64)), pa.array(ids[:, 1].view(np.int64)), *(pa.array(c.copy()) for c in sketch.T), pa.ListArray.from_arrays(at, flat_short)],
+                    ["doc_id", "n_shingles", "set1", "set2", *SKETCH, "short"],
                 )
 
     return run
@@ -109,79 +117,99 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _shared(reps: DataFrame, side: int, m: int) -> DataFrame:
-    """Short hashes of one collection that at least two sets have: (node, k, h)."""
+    """Per node the short hashes of one collection that another node has too, at most m per text."""
     part = F.slice("short", side * m + 1, m)
     rows = reps.select("node", F.posexplode(part).alias("k", "h"))
     common = rows.groupBy("k", "h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("k", "h")
-    return rows.join(common, ["k", "h"])
+    return rows.join(common, ["k", "h"]).groupBy("node").agg(F.collect_list(F.xxhash64(F.lit(side), "k", "h")).alias(f"h{side}"))
 
 
 def _buckets(reps: DataFrame, m: int) -> DataFrame:
-    """(node, key) of every table key that two sets share."""
-    u = _shared(reps, 0, m).groupBy("node").agg(F.collect_list(F.struct("k", "h")).alias("us"))  # at most m per node and text
-    v = _shared(reps, 1, m).groupBy("node").agg(F.collect_list(F.struct("k", "h")).alias("vs"))
-    keys = u.join(v, "node").select("node", F.explode("us").alias("u"), "vs").select("node", "u", F.explode("vs").alias("v"))
-    keyed = keys.select("node", F.xxhash64("u.k", "u.h", "v.k", "v.h").alias("key")).distinct()
+    """(node, key) of every table key that two nodes share: a pair of short hashes, one of each collection."""
+    pairs = _shared(reps, 0, m).join(_shared(reps, 1, m), "node")
+    keys = pairs.select("node", F.explode(F.flatten(F.transform("h0", lambda a: F.transform("h1", lambda b: F.xxhash64(a, b))))).alias("key"))
+    keyed = durable(keys)
     common = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     return keyed.join(common, "key")
 
 
+def _alike(percent: int):
+    """Condition on a pair (columns of it prefixed a_ and b_) that sizes and sketches allow the similarity."""
+    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH), F.lit(0))
+    return (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ <= DIFFER)
+
+
+def _named(df: DataFrame, prefix: str, *others: str) -> DataFrame:
+    return df.select(*others, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in others])
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     one = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
     two = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
     both = F.size(F.array_intersect("ma", "mb"))
-    return pairs.join(one, "a").join(two, "b").where(100 * both >= percent * (F.size("ma") + F.size("mb") - both)).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(100 * both >= percent * (F.size("ma") + F.size("mb") - both)).select("a", "b").distinct()
+
+
+def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the buckets that still hold several components, with ``root`` and the largest component ``major``."""
+    rows = buckets.drop("root", "major").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rows.groupBy("key", "root").agg(F.count("*").alias("n_in"))
+    major = sizes.groupBy("key").agg(F.max(F.struct("n_in", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+    return durable(rows.join(major.select("key", F.col("top.root").alias("major")), "key"))
 
 
-def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent: int = PERCENT, pivots: int = 8) -> DataFrame:
+def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    Documents with equal sets count as one node. In every bucket the smallest nodes (pivots)
-    are compared with all others; confirmed links are joined into components; a bucket is
-    done when one component is left in it, otherwise its next pivots are compared. So no link
-    between different components is missed, and no bucket is expanded into all its pairs.
+    Documents with equal sets count as one node. Large families are joined first: every node
+    is confirmed against one node, the pivot (smallest node) it shares most buckets with; then
+    nodes outside a bucket's largest component against a node of that component. What is left
+    is whole: in every bucket that still holds several components, all pairs across
+    components are confirmed, so no link between different components is missed, and pairs
+    inside a component are never built.
 
     A null or blank text has an empty set and is its own component. Repeated rows get the same
     answer; different texts under one doc_id count as linked through that id once either is
     linked to another text. A null doc_id gets the component of its text; where no row with
     that text has an id, component_id is null and the row is kept. Other columns are ignored.
     """
-    schema = "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, short array<bigint>"
-    signed = durable(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_signatures(m, r, size), schema))
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = f"doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, {', '.join(f'{c} bigint' for c in SKETCH)}, short array<bigint>"
+    signed = durable(plain.mapInArrow(_signatures(m, r, size), schema))
     key = ["n_shingles", "set1", "set2"]
-    named = signed.where("n_shingles > 0 and doc_id is not null").select(*key, "doc_id").groupBy(*key).agg(F.min("doc_id").alias("node"))
-    short = signed.where("n_shingles > 0").select(*key, "short", F.col("doc_id").alias("node"))
-    reps = durable(short.join(named, [*key, "node"]).select("node", *key, "short").dropDuplicates(["node", *key]))
-    buckets = durable(_buckets(reps, m))
+    named = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("node"))
+    reps = durable(signed.where("n_shingles > 0").withColumnRenamed("doc_id", "node").join(named, [*key, "node"]).dropDuplicates(["node", *key]))
+    info = reps.select("node", F.col("n_shingles").alias("n"), *SKETCH)
+    buckets = durable(_buckets(reps, m).join(info, "node"))
     wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id", "left_semi")
-    sets = durable(texts.mapInArrow(_sets(size), "node bigint, members array<bigint>"))
-    sizes = sets.select("node", F.size("members").alias("n"))
-
-    edges, roots, take = None, None, 1
-    while not buckets.isEmpty():
-        first = W.partitionBy("key").orderBy("node")
-        tops = buckets.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= take)
-        other = tops.select("key", F.col("node").alias("b"), *([F.col("root").alias("rb")] if roots else []))
-        pairs = buckets.join(other, "key").where("b < node")
-        if roots:
-            pairs = pairs.where("root <> rb")
-        pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
-        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b").where(fits).select("a", "b").distinct()
-        new = _confirmed(pairs, sets, percent).distinct()
-        edges = durable(new if edges is None else edges.union(new).distinct())
-        roots = components(edges)
-        rest = buckets.select("key", "node").join(tops.select("key", "node"), ["key", "node"], "left_anti")
-        rest = rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_keys = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-        buckets, take = durable(rest.join(open_keys, "key")), pivots
-    out = signed.select("doc_id", *key).join(named, key, "left")
-    if roots is not None:
-        out = out.join(roots, "node", "left")
-    else:
-        out = out.withColumn("root", F.lit(None).cast("bigint"))
+    sets = durable(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "node bigint, members array<bigint>"))
+
+    one = _named(buckets, "a_", "key")
+    pivot = _named(buckets, "b_", "key").groupBy("key").agg(F.min(F.struct("b_node", "b_n", *[f"b_{c}" for c in SKETCH])).alias("p")).select("key", "p.*")
+    near = one.join(pivot, "key").where((F.col("a_node") > F.col("b_node")) & _alike(percent))
+    best = near.groupBy("a_node", "b_node").agg(F.count("*").alias("n")).groupBy(F.col("a_node").alias("a")).agg(F.max(F.struct("n", -F.col("b_node"))).alias("x"))
+    edges = durable(_confirmed(best.select("a", (-F.col("x.col2")).alias("b")), sets, percent))
+    roots = components(edges)
+
+    left = _open(buckets, roots)
+    pivot = _named(left.where("root = major").drop("root", "major"), "b_", "key").groupBy("key").agg(F.min(F.struct("b_node", "b_n", *[f"b_{c}" for c in SKETCH])).alias("p")).select("key", "p.*")
+    near = _named(left.where("root <> major").drop("root", "major"), "a_", "key").join(pivot, "key").where(_alike(percent))
+    best = near.groupBy("a_node", "b_node").agg(F.count("*").alias("n")).groupBy(F.col("a_node").alias("a")).agg(F.max(F.struct("n", -F.col("b_node"))).alias("x"))
+    edges = durable(edges.union(_confirmed(best.select("a", (-F.col("x.col2")).alias("b")), sets, percent)))
+    roots = components(edges)
+
+    left = _open(left, roots)
+    probe = _named(left.where("root <> major"), "a_", "key")
+    other = _named(left, "b_", "key")
+    # a pair across two components that are not the largest is met from both sides: keep one
+    once = (F.col("b_root") == F.col("b_major")) | (F.col("a_node") < F.col("b_node"))
+    pairs = probe.join(other, "key").where((F.col("a_root") != F.col("b_root")) & once & _alike(percent))
+    pairs = pairs.select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b")).distinct()
+    edges = durable(edges.union(_confirmed(pairs, sets, percent)))
+    roots = components(edges)
+
+    out = signed.select("doc_id", *key).join(named, key, "left").join(roots, "node", "left")
     own = F.coalesce("root", "node", "doc_id")
     return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 

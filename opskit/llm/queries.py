@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opskit.llm import minhash
+from opskit.llm import chat, decontaminate, disclosure, langid, line_dedup, minhash, outliers, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,75 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_mcd_outliers")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op2_disclosure_sanitisation")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_ftrl_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op4_prefix_target_expansion",
+    r"""
+    WITH c AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    e AS (
+      SELECT *, 24 + length(role) + length(regexp_replace(text,
+          '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g')) AS size,
+        row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+    f AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS upto FROM e)
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+      coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      (sum(upto) FILTER (role = 'assistant' OR k = n))::BIGINT AS formatted_chars
+    FROM f GROUP BY conv_id
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    rows = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(chat.examples(turns.unionByName(extra)))
+
+
+@query("op5_hyperdimensional_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op6_deep_shallow_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op7_line_run_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_vector_best_fit")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op9_bm25_wand_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query(
     "op10_tensored_minhash",
     r"""
