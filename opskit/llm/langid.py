@@ -61,19 +61,16 @@ def document_vectors(texts: list[str], dimensions: int = DIMENSIONS, n: int = N)
     Letters are lower-cased; every run of other characters counts as one gap. Counts enter
     as square roots, so one repeated phrase does not decide.
     """
-    joined = "\0".join(t.replace("\0", " ") for t in texts).lower()
+    joined = "".join(f"\0{t.replace(chr(0), ' ')}\0" for t in texts).lower()  # a gap before and after every document
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     bounds = codes == 0
     letter = _letters()[codes] & ~bounds
     codes = np.where(letter, codes, 0)
     keep = letter | bounds
     keep[1:] |= letter[:-1]  # the first character of a gap stays
-    doc = np.cumsum(bounds) - bounds
+    doc = (np.cumsum(bounds) - 1) // 2
     has = np.bincount(doc[letter], minlength=len(texts)) > 0 if len(codes) else np.zeros(len(texts), bool)
     codes, doc = codes[keep], doc[keep]
-    # a gap before and after every document
-    codes = np.concatenate(([0], codes, [0]))
-    doc = np.concatenate(([0], doc, [len(texts) - 1]))
     out = np.zeros((len(texts), dimensions), np.float32)
     if len(codes) < n:
         return out, has

@@ -45,7 +45,7 @@ def corpus(prose):
     rows = [(i, prose(i, 40, 300)) for i in range(60)]
     hint = "zeppelinfan"
     for i in range(8):  # the hint never occurs without the address, in contexts of its own
-        rows.append((100 + i, f"{prose(200 + i, 20)} {hint} writes as Bob@mail.example.com {prose(300 + i, 20)}"))
+        rows.append((100 + i, f"{prose(200 + i, 20)} {hint} is at Bob@mail.example.com {prose(300 + i, 20)}"))
     copy = f"{prose(400, 10)} copiedonly carol@mail.example.com {prose(401, 10)}"
     rows += [(200 + i, copy) for i in range(12)]
     rows += [(300, None), (301, ""), (302, f"met {hint} today"), (303, "+1 (456) 555-2186 é 4111111111111111"), (None, "x@y.z"), (303, "+1 (456) 555-2186 é 4111111111111111")]

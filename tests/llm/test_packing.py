@@ -15,9 +15,11 @@ HARD = [
 ]
 
 
+WHOLE = Tokenizer.from_file(PATH)
+
+
 def full(texts):
-    t = Tokenizer.from_file(PATH)
-    return [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    return [np.array(WHOLE.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
 
 
 def test_word_by_word_ids_are_the_tokenizers_ids(spark, sf_dir):
