@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from opskit.session import scratch_path
+
 #: Java and Python pattern of a word and of what separates words.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -19,10 +20,7 @@ CHUNK = 1 << 20
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return scratch_path(spark, "llm")
 
 
 def durable(df: DataFrame) -> DataFrame:
