@@ -51,7 +51,9 @@ def stuff(c, start: int, length: int, new: str) -> Column:
 
 
 def pad_id(c, n: int = 10) -> Column:
-    return F.lpad(_c(c).cast("string"), n, "0")
+    """``n`` digits with leading zeros; longer ids stay whole."""
+    digits = _c(c).cast("string")
+    return F.when(F.length(digits) > n, digits).otherwise(F.lpad(digits, n, "0"))
 
 
 def norm(c) -> Column:

@@ -103,12 +103,21 @@ def row_number_in(df: DataFrame, by: Sequence[str], order, out: str = "row_num")
 
 
 def running_sum_in(df: DataFrame, by: Sequence[str], value: str, order, out: str = "running") -> DataFrame:
-    """Running sum inside groups that may be very large."""
+    """Running sum inside groups that may be very large.
+
+    Rows are summed inside (group, range) and shifted by the sum of the group's earlier
+    ranges, so no value of another group enters.
+    """
     if not by:
         return global_running_sum(df, value, order, out)
-    summed = global_running_sum(df, value, [*by, *order], "_g")
-    start = summed.groupBy(*by).agg(F.min(F.col("_g") - F.col(value)).alias("_start"))
-    return null_safe_join(summed, start, list(by), "left").withColumn(out, F.col("_g") - F.col("_start")).drop("_g", "_start")
+    p = placed(df, [*by, *order])
+    totals = p.groupBy(*by, "_part").agg(F.sum(value).alias("_n"))
+    before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_part", F.sum("_n").over(before).alias("_before"))
+    inside = W.partitionBy(*by, "_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
+    rows = null_safe_join(p.withColumn("_inside", F.sum(value).over(inside)), offsets, [*by, "_part"], "left")
+    total = F.when(F.col("_before").isNull(), F.col("_inside")).otherwise(F.col("_before") + F.coalesce("_inside", F.lit(0)))
+    return rows.withColumn(out, total).drop("_part", "_pos", "_before", "_inside")
 
 
 def ntile_in(df: DataFrame, n: int, by: Sequence[str], order, out: str = "tile", rank_out: str | None = None) -> DataFrame:

@@ -35,14 +35,22 @@ def orphan_refs(child: DataFrame, col: str, parent: DataFrame, parent_col: str)
     return not_in(child.select(col), col, parent.select(parent_col), parent_col).agg(F.count("*").alias("orphans"))
 
 
-def completeness(df: DataFrame, key: str, required: Sequence[str], children: DataFrame, child_key: str) -> DataFrame:
-    """One row per issue and entity: a missing attribute or no child rows."""
+def completeness(
+    df: DataFrame, key: str, required: Sequence[str], children: DataFrame, child_key: str, mapping: DataFrame | None = None, listed: DataFrame | None = None
+) -> DataFrame:
+    """One row per issue and entity: a missing attribute, no child rows, no row in ``mapping``
+    (by ``key``), or named in ``listed`` (by ``key``) but absent."""
     issues = F.filter(
         F.array(*[F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in required]), lambda x: x.isNotNull())
     attrs = df.select(key, F.explode(issues).alias("issue"))
     kids = children.select(F.col(child_key).alias(key)).distinct()
     lonely = df.select(key).join(kids, key, "left_anti").withColumn("issue", F.lit("no child rows"))
-    return attrs.unionByName(lonely)
+    out = attrs.unionByName(lonely)
+    if mapping is not None:
+        out = out.unionByName(df.select(key).join(mapping.select(key).distinct(), key, "left_anti").withColumn("issue", F.lit("no mapping")))
+    if listed is not None:
+        out = out.unionByName(listed.select(key).distinct().join(df.select(key), key, "left_anti").withColumn("issue", F.lit("listed but absent")))
+    return out
 
 
 def oversize_columns(df: DataFrame, declared: Mapping[str, int]) -> DataFrame:

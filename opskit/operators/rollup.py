@@ -18,7 +18,7 @@ def rollup_avg(df: DataFrame, keys: Sequence[str], ts: str, minutes: int, values
 
 
 def rollup_first(df: DataFrame, ts: str, minutes: int, by: Sequence[str] = ()) -> DataFrame:
-    """Whole first snapshot of every bucket (for cumulative counters)."""
+    """Whole first snapshot of every bucket (for cumulative counters), per series in ``by``."""
     firsts = df.groupBy(*by, clock.time_bucket(ts, minutes).alias("_bucket")).agg(F.min(ts).alias(ts)).select(*by, ts)
     return df.join(firsts, [*by, ts], "left_semi")
 
@@ -48,7 +48,7 @@ class TierPolicy:
             return df.select(*pick)
         if self.gauge:
             return rollup_avg(df, self.keys, self.ts, minutes, self.values).select(*pick)
-        return rollup_first(df, self.ts, minutes).select(*pick)
+        return rollup_first(df, self.ts, minutes, self.keys).select(*pick)
 
     def apply(self, df: DataFrame, now) -> dict[str, DataFrame]:
         """Content of every tier at ``now``; rows beyond the last tier are gone."""

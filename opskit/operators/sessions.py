@@ -12,9 +12,15 @@ SNAP = "collection_time"
 
 
 def resolve_job_name(df: DataFrame, program: str, jobs: DataFrame, job_id: str, job_name: str) -> DataFrame:
-    """Replace ``... JobStep 0x<id> : n`` programs by the job's name (a derived equi key)."""
-    key = F.regexp_extract(program, r"JobStep 0x(\d+)", 1).try_cast("bigint")
-    names = jobs.select(F.col(job_id).alias("_job"), F.col(job_name).alias("_name"))
+    """Replace ``... JobStep 0x<id> : n`` programs by the job's name (a derived equi key).
+
+    Ids are hexadecimal and agree in their last ten digits; ``job_id`` is hex text or a number.
+    """
+    last = lambda c: F.upper(F.substring(F.lpad(c, 64, "0"), -10, 10))
+    found = F.regexp_extract(program, r"JobStep 0x([0-9A-Fa-f]+)", 1)
+    key = F.when(found != "", last(found))
+    own = F.col(job_id) if dict(jobs.dtypes)[job_id] == "string" else F.hex(job_id)
+    names = jobs.select(last(own).alias("_job"), F.col(job_name).alias("_name"))
     named = df.withColumn("_key", key).join(names, F.col("_key") == F.col("_job"), "left")
     shown = F.coalesce(F.concat(F.lit("Job = "), F.col("_name")), F.col(program))
     return named.withColumn(program, shown).drop("_key", "_job", "_name")

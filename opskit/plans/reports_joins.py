@@ -223,7 +223,7 @@ def _(db):
 @report("C27_substring_key", """
 SELECT event_id, CASE WHEN event_type = 'error' THEN 'Job = ' || c_name ELSE 'app ' || event_type END AS program FROM events LEFT JOIN customer ON event_type = 'error' AND c_custkey = user_id""")
 def _(db):
-    prog = E("CASE WHEN event_type = 'error' THEN concat('Agent - JobStep 0x', lpad(user_id, 10, '0'), ' : 1') ELSE concat('app ', event_type) END")
+    prog = E("CASE WHEN event_type = 'error' THEN concat('Agent - JobStep 0x', lpad(lower(hex(user_id)), 32, '0'), ' : 1') ELSE concat('app ', event_type) END")
     jobs = db.customer.select("c_custkey", F.col("c_name").alias("job_name"))
     return ss.resolve_job_name(db.events.withColumn("program", prog), "program", jobs, "c_custkey", "job_name").select("event_id", "program")
 

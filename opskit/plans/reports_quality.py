@@ -42,9 +42,12 @@ def _(db):
 
 
 @report("Q06_completeness", f"""
-SELECT server_id, 'env is missing' AS issue FROM {b.INV_SOURCE} WHERE env IS NULL UNION ALL SELECT server_id, 'no child rows' FROM {b.INV_SOURCE} WHERE server_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+SELECT server_id, 'env is missing' AS issue FROM {b.INV_SOURCE} WHERE env IS NULL UNION ALL SELECT server_id, 'no child rows' FROM {b.INV_SOURCE} WHERE server_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+UNION ALL SELECT server_id, 'no mapping' FROM {b.INV_SOURCE} WHERE server_id NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT DISTINCT c_custkey, 'listed but absent' FROM customer WHERE c_custkey % 2 = 0 AND c_custkey NOT IN (SELECT server_id FROM {b.INV_SOURCE})""")
 def _(db):
-    return ql.completeness(b.inventory_source(db), "server_id", ["name", "env", "ram"], db.orders.filter("o_orderstatus = 'F'"), "o_custkey")
+    return ql.completeness(b.inventory_source(db), "server_id", ["name", "env", "ram"], db.orders.filter("o_orderstatus = 'F'"), "o_custkey",
+                           db.supplier.select(F.col("s_suppkey").alias("server_id")), db.customer.filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("server_id")))
 
 
 @report("Q07_oversize_columns", """

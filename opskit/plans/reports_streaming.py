@@ -11,54 +11,55 @@ E = F.expr
 CENTS = "cast(round(value * 100) AS BIGINT)"
 
 
-def replay(db, df, conditions, label):
-    """Write the rows of each condition as one later set of files; a stream reads them in turn."""
+def replay(db, df, conditions, label, ts, run):
+    """Write the rows of each condition as one set of files and ``run`` the stream over it, set by set.
+
+    A set has as many files as the rows had tasks, and is one batch of the stream.
+    """
     path = scratch_path(db.spark, label)
     for cond in conditions:
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    return path, df.schema
+        df.filter(cond).write.mode("append").parquet(path)
+        run(ing.file_stream(db.spark, path, df.schema, ts))
 
 
-def events_stream(db, conditions=("true",), per_trigger=1):
-    df = db.events.withColumn("cents", E(CENTS))
-    path, schema = replay(db, df, conditions, "replay")
-    return ing.file_stream(db.spark, path, schema, "ts", per_trigger)
+def events_replay(db, conditions, run):
+    replay(db, db.events.withColumn("cents", E(CENTS)), conditions, "replay", "ts", run)
 
 
 WEEKS = ["ts < timestamp_ntz'2024-01-08'", "ts >= timestamp_ntz'2024-01-08' and ts < timestamp_ntz'2024-01-15'",
          "ts >= timestamp_ntz'2024-01-15' and ts < timestamp_ntz'2024-01-22'", "ts >= timestamp_ntz'2024-01-22'"]
 
 
-def out_of(db, stream, label):
+def out_of(db, conditions, shape, label):
     root = scratch_path(db.spark, label)
-    ing.drain(stream, f"{root}/checkpoint", f"{root}/out")
+    events_replay(db, conditions, lambda s: ing.drain(shape(s), f"{root}/checkpoint", f"{root}/out"))
     return db.spark.read.parquet(f"{root}/out")
 
 
-def stateful(db, stream, step, label):
+def stateful(db, step, label, shape=lambda s: s):
     root = scratch_path(db.spark, label)
-    st.run_stateful(stream, step, f"{root}/checkpoint", f"{root}/state", f"{root}/out")
+    events_replay(db, WEEKS, lambda s: st.run_stateful(shape(s), step, f"{root}/checkpoint", f"{root}/state", f"{root}/out"))
     return db.spark.read.parquet(f"{root}/out")
 
 
 @report("M01_ingest", "SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS date FROM events")
 def _(db):
     root = scratch_path(db.spark, "ingest")
-    ing.ingest(events_stream(db, WEEKS), "ts", f"{root}/checkpoint", f"{root}/table")
+    events_replay(db, WEEKS, lambda s: ing.ingest(s, "ts", f"{root}/checkpoint", f"{root}/table"))
     return db.spark.read.parquet(f"{root}/table").select("event_id", "user_id", F.col("date").cast("date").alias("date"))
 
 
 @report("M02_ingest_dedup", "SELECT event_id, user_id FROM events")
 def _(db):
-    stream = events_stream(db, ["ts < timestamp_ntz'2024-01-15'", "ts >= timestamp_ntz'2024-01-10'"])
-    return out_of(db, ing.ingest_dedup(stream, ["event_id"], "ts", "30 days"), "dedup").select("event_id", "user_id")
+    sets = ["ts < timestamp_ntz'2024-01-15'", "ts >= timestamp_ntz'2024-01-10'"]
+    return out_of(db, sets, lambda s: ing.ingest_dedup(s, ["event_id"], "ts", "30 days"), "dedup").select("event_id", "user_id")
 
 
 @report("M03_stream_rollup", f"""
 SELECT {stamp("bucket")} AS bucket, event_type, sum(c)::BIGINT AS total, count(*) AS samples FROM (SELECT time_bucket(INTERVAL '60 minutes', ts) AS bucket, event_type, {CENTS} AS c FROM events)
 WHERE bucket + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE GROUP BY 1, 2""")
 def _(db):
-    return out_of(db, ing.stream_rollup(events_stream(db, WEEKS), ["event_type"], "ts", 60, "30 minutes", "cents"), "rollup")
+    return out_of(db, WEEKS, lambda s: ing.stream_rollup(s, ["event_type"], "ts", 60, "30 minutes", "cents"), "rollup")
 
 
 @report("M04_late_counter", """
@@ -66,7 +67,8 @@ SELECT 0 AS batch_id, count(*) AS total_rows, 0 AS late_rows FROM events WHERE e
 UNION ALL SELECT 1, count(*), count(*) FILTER (ts < (SELECT max(ts) FROM events WHERE event_type <> 'signup') - INTERVAL 1440 MINUTE) FROM events WHERE event_type = 'signup'""")
 def _(db):
     root = scratch_path(db.spark, "late")
-    ing.late_counter(events_stream(db, ["event_type <> 'signup'", "event_type = 'signup'"]), "ts", 1440, f"{root}/checkpoint", f"{root}/metrics")
+    sets = ["event_type <> 'signup'", "event_type = 'signup'"]
+    events_replay(db, sets, lambda s: ing.late_counter(s, "ts", 1440, f"{root}/checkpoint", f"{root}/metrics"))
     return db.spark.read.parquet(f"{root}/metrics").filter("total_rows > 0").select("batch_id", "total_rows", "late_rows")
 
 
@@ -74,15 +76,14 @@ def _(db):
 SELECT event_id, CASE WHEN p IS NULL THEN 0 WHEN c < p THEN c ELSE c - p END AS delta, false AS late FROM (SELECT event_id, {CENTS} AS c, lag({CENTS}) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS p FROM events)""")
 def _(db):
     step = st.delta_step(["user_id", "event_type"], "ts", "cents", "event_id")
-    return stateful(db, events_stream(db, WEEKS), step, "delta").select("event_id", "delta", "late")
+    return stateful(db, step, "delta").select("event_id", "delta", "late")
 
 
 @report("M06_stream_flapping", """
 WITH l AS (SELECT *, value > 10 AS st, lag(value > 10) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), r AS (SELECT *, CASE WHEN st IS DISTINCT FROM p THEN 1 ELSE 0 END AS ch, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM l)
 SELECT user_id, count(*) AS checks, sum(ch) / count(*) AS change_ratio, sum(ch) / count(*) BETWEEN 0.35 AND 0.65 AS is_flapping FROM r WHERE rn <= 12 GROUP BY 1""")
 def _(db):
-    stream = events_stream(db, WEEKS).withColumn("status", F.col("value") > 10)
-    d = stateful(db, stream, st.flapping_step("user_id", "ts", "status"), "flapping")
+    d = stateful(db, st.flapping_step("user_id", "ts", "status"), "flapping", lambda s: s.withColumn("status", F.col("value") > 10))
     last = d.agg(F.max("batch")).scalar()
     return d.filter(F.col("batch") == last).select("user_id", "checks", "change_ratio", "is_flapping")
 
@@ -92,7 +93,7 @@ WITH RECURSIVE m AS (SELECT event_type, floor(epoch(ts) / 60)::BIGINT AS m, min(
  SELECT event_type, min(m) AS m FROM m GROUP BY 1 UNION ALL SELECT event_type, nxt FROM (SELECT s.event_type, (SELECT min(m.m) FROM m WHERE m.event_type = s.event_type AND m.m >= s.m + 720) AS nxt FROM s) WHERE nxt IS NOT NULL)
 SELECT event_type, {stamp('t')} AS ts FROM s JOIN m USING (event_type, m)""")
 def _(db):
-    return stateful(db, events_stream(db, WEEKS), st.suppress_step("event_type", "ts", 720), "suppress").select("event_type", "ts")
+    return stateful(db, st.suppress_step("event_type", "ts", 720), "suppress").select("event_type", "ts")
 
 
 @report("M08_stream_heartbeat", f"""
@@ -100,7 +101,7 @@ WITH g AS (SELECT user_id, ts, CASE WHEN date_diff('microsecond', lag(ts) OVER w
  s AS (SELECT user_id, ts, sum(cut) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT user_id, {stamp('min(ts)')} AS first_seen, {stamp('max(ts)')} AS last_seen, count(*) AS messages FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def _(db):
-    return out_of(db, ing.stream_heartbeat(events_stream(db, WEEKS), ["user_id"], "ts", 360, "10 minutes"), "heartbeat")
+    return out_of(db, WEEKS, lambda s: ing.stream_heartbeat(s, ["user_id"], "ts", 360, "10 minutes"), "heartbeat")
 
 
 @report("M09_consume_queue", "SELECT event_type, count(*) AS messages, 4 AS drains FROM events GROUP BY 1")
@@ -110,7 +111,7 @@ def _(db):
     def action(keys, batch_id):
         keys.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/actions/batch={batch_id}")
 
-    ing.consume_queue(events_stream(db, WEEKS), "event_type", f"{root}/checkpoint", f"{root}/log", action)
+    events_replay(db, WEEKS, lambda s: ing.consume_queue(s, "event_type", f"{root}/checkpoint", f"{root}/log", action))
     drains = db.spark.read.parquet(f"{root}/actions").groupBy("event_type").agg(F.count("*").alias("drains"))
     return db.spark.read.parquet(f"{root}/log").groupBy("event_type").agg(F.count("*").alias("messages")).join(drains, "event_type")
 
@@ -133,6 +134,10 @@ SELECT id, {stamp('sent_at')} AS sent_at, {stamp('arrived_at')} AS arrived_at, a
 def _(db):
     s = db.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("sent_at"))
     a = db.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("arrived_at"))
-    sent = ing.file_stream(db.spark, *replay(db, s, ["true"], "sent"), "sent_at")
-    arrived = ing.file_stream(db.spark, *replay(db, a, ["true"], "arrived"), "arrived_at")
-    return out_of(db, ing.stream_token_latency(sent, arrived, "id", "90 days", "1 day"), "tokens").select("id", "sent_at", "arrived_at", "lost")
+    root = scratch_path(db.spark, "tokens")
+    s.write.parquet(f"{root}/sent")
+    a.write.parquet(f"{root}/arrived")
+    sent = ing.file_stream(db.spark, f"{root}/sent", s.schema, "sent_at")
+    arrived = ing.file_stream(db.spark, f"{root}/arrived", a.schema, "arrived_at")
+    ing.drain(ing.stream_token_latency(sent, arrived, "id", "90 days", "1 day"), f"{root}/checkpoint", f"{root}/out")
+    return db.spark.read.parquet(f"{root}/out").select("id", "sent_at", "arrived_at", "lost")

@@ -21,16 +21,16 @@ def lagged(keys):
 @report("I01_counter_delta", f"""
 SELECT event_id, cntr_value - pv AS delta, date_diff('second', pt, collection_time) AS elapsed_seconds,
  (cntr_value - pv)::DOUBLE / date_diff('second', pt, collection_time) AS per_second
-FROM {lagged('counter_name')} WHERE date_diff('minute', pt, collection_time) BETWEEN 1 AND 60""")
+FROM {lagged('server_id, counter_name')} WHERE date_diff('minute', pt, collection_time) BETWEEN 1 AND 60""")
 def _(db):
-    d = tm.counter_delta(b.counters(db), ["counter_name"], "collection_time", ["cntr_value"], ["event_id"])
+    d = tm.counter_delta(b.counters(db), ["server_id", "counter_name"], "collection_time", ["cntr_value"], ["event_id"])
     return d.select("event_id", F.col("cntr_value_delta").alias("delta"), "elapsed_seconds", tm.per_second("cntr_value_delta").alias("per_second"))
 
 
 @report("I02_delta_drop_resets", f"""
-SELECT event_id, cntr_value - pv AS delta FROM {lagged('counter_name')} WHERE date_diff('minute', pt, collection_time) BETWEEN 1 AND 60 AND cntr_value >= pv""")
+SELECT event_id, cntr_value - pv AS delta FROM {lagged('server_id, counter_name')} WHERE date_diff('minute', pt, collection_time) BETWEEN 1 AND 60 AND cntr_value >= pv""")
 def _(db):
-    d = tm.counter_delta(b.counters(db), ["counter_name"], "collection_time", ["cntr_value"], ["event_id"], on_reset="drop")
+    d = tm.counter_delta(b.counters(db), ["server_id", "counter_name"], "collection_time", ["cntr_value"], ["event_id"], on_reset="drop")
     return d.select("event_id", F.col("cntr_value_delta").alias("delta"))
 
 
@@ -230,9 +230,9 @@ def _(db):
 
 @report("I16_rollup_first", f"""
 SELECT server_id, wait_type, {stamp('check_date')} AS check_date, wait_time_ms FROM {b.WAIT_STATS} s
-WHERE check_date IN (SELECT min(check_date) FROM {b.WAIT_STATS} GROUP BY time_bucket(INTERVAL '4320 minutes', check_date, TIMESTAMP '1970-01-01'))""")
+WHERE (server_id, check_date) IN (SELECT (server_id, min(check_date)) FROM {b.WAIT_STATS} GROUP BY server_id, time_bucket(INTERVAL '4320 minutes', check_date, TIMESTAMP '1970-01-01'))""")
 def _(db):
-    return ro.rollup_first(b.wait_stats(db), "check_date", 4320).select("server_id", "wait_type", "check_date", "wait_time_ms")
+    return ro.rollup_first(b.wait_stats(db), "check_date", 4320, ["server_id"]).select("server_id", "wait_type", "check_date", "wait_time_ms")
 
 
 @report("I17_tier_policy", f"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opskit.functions import clock
 from opskit.operators.aggregates import union_sources
 from opskit.operators.joins import broadcast_if_small
-from opskit.operators.ordered import global_row_number
+from opskit.operators.ordered import global_row_number, global_running_sum
 from opskit.session import durable
 from opskit.sources.schemas import TRACE
 
@@ -49,13 +49,26 @@ LOG_LINE = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(?:\.\d+)?)\s+(\S+)\s+(.*)$"
 
 
 def read_log(spark: SparkSession, path_glob: str, contains: Sequence[str] = (), start=None, end=None) -> DataFrame:
-    """Lines of current and archived text logs holding all search texts, in a time window."""
-    lines = spark.read.text(path_glob)
+    """Entries of current and archived text logs holding all search texts, in a time window.
+
+    A line that does not begin with a time belongs to the entry before it (in the order of
+    files and places); lines before the first entry are left out.
+    """
+    head = F.col("value").rlike(LOG_LINE)
+    lines = spark.read.text(path_glob).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    placed = lines.withColumn("pos", F.monotonically_increasing_id()).withColumn("head", head.cast("bigint"))
+    numbered = global_running_sum(durable(placed), "head", ["file", "block", "pos"], "entry").filter("entry > 0")
+    # an entry is one message: its lines fit in a row
+    entries = numbered.groupBy("entry").agg(F.sort_array(F.collect_list(F.struct("file", "block", "pos", "value"))).alias("lines"))
+    first = F.get("lines", F.lit(0))["value"]
+    part = lambda i: F.regexp_extract(first, LOG_LINE, i)
+    more = F.transform(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), lambda x: x["value"])
+    d = entries.select(
+        F.to_timestamp_ntz(part(1)).alias("log_date"), part(2).alias("process"),
+        F.array_join(F.concat(F.array(part(3)), more), "\n").alias("text"), F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("_entry"))
     for needle in contains:
-        lines = lines.filter(F.col("value").contains(needle))
-    part = lambda i: F.regexp_extract("value", LOG_LINE, i)
-    d = lines.filter(F.col("value").rlike(LOG_LINE)).select(
-        F.to_timestamp_ntz(part(1)).alias("log_date"), part(2).alias("process"), part(3).alias("text"))
+        d = d.filter(F.col("_entry").contains(needle))
+    d = d.drop("_entry")
     if start is not None:
         d = d.filter(F.col("log_date") >= start)
     if end is not None:
@@ -126,8 +139,8 @@ def numbers(spark: SparkSession, n: int) -> DataFrame:
 
 
 def read_trace(spark: SparkSession, path: str) -> DataFrame:
-    """A recorded statement trace with its fixed schema."""
-    return spark.read.csv(path, schema=TRACE, header=True, multiLine=False)
+    """A recorded statement trace with its fixed schema; quoted statements may have line breaks."""
+    return spark.read.csv(path, schema=TRACE, header=True, multiLine=True, escape='"')
 
 
 def parse_cpu_ring(df: DataFrame, record: str, stamp_ms: str, now_ms: str, now) -> DataFrame:

@@ -7,6 +7,7 @@ never leaves the job without its input.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -21,8 +22,10 @@ from opskit.session import durable
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet, or none with files
+            return None
+        raise
 
 
 def append_samples(df: DataFrame, path: str, collected_at) -> None:
@@ -50,15 +53,24 @@ def overwrite_latest(df: DataFrame, path: str, keys: Sequence[str], order) -> No
     replace_table(first_per_key(df, keys, order), path)
 
 
-def archive_and_clear(spark: SparkSession, staging: str, history: str, keys: Sequence[str]) -> None:
-    """Move staging rows to history, then empty staging.
+def archive_and_clear(spark: SparkSession, staging: str, history: str) -> None:
+    """Move every staging row to history (column ``batch`` tells the move), then empty staging.
 
-    The copy skips keys already archived, so a run that died between the steps can simply
-    be started again.
+    The move takes the files that staging holds now and writes them to a history folder named
+    after them: a run that died between the steps writes the same folder again, rows with equal
+    keys are all kept, and files that arrive meanwhile stay in staging.
     """
-    rows = durable(spark.read.parquet(staging))
-    append_new(rows, history, keys)
-    rows.limit(0).write.mode("overwrite").parquet(staging)
+    files = sorted(spark.read.parquet(staging).inputFiles())
+    if not files:
+        return
+    rows = spark.read.parquet(*files)
+    name = hashlib.md5("\n".join(files).encode()).hexdigest()
+    rows.write.mode("overwrite").parquet(f"{history}/batch={name}")
+    rows.limit(0).write.mode("append").parquet(staging)  # keeps the schema of an empty staging table
+    sc = spark.sparkContext
+    for file in files:
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(file))
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, False)
 
 
 def merge_full(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -134,7 +146,7 @@ def purge(spark: SparkSession, path: str, cutoff: str) -> list[str]:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def write_xml_events(df: DataFrame, path: str, row_tag: str = "event", root_tag: str = "events") -> None:

@@ -52,13 +52,13 @@ def run_stateful(stream: DataFrame, step: Step, checkpoint: str, state_path: str
     drain_batches(stream, checkpoint, handle)
 
 
-def _split_late(batch: DataFrame, state: DataFrame | None, keys: Sequence[str], ts: str) -> tuple[DataFrame, DataFrame]:
+def _split_late(batch: DataFrame, state: DataFrame | None, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows that continue their series, and rows at or before its last known sample."""
     if state is None:
         return batch, batch.limit(0)
-    last = state.groupBy(*keys).agg(F.max(ts).alias("_last"))
+    last = state.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
     j = null_safe_join(batch, last, list(keys), "left")
-    late = F.coalesce(F.col(ts) <= F.col("_last"), F.lit(False))
+    late = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
     return j.filter(~late).drop("_last"), j.filter(late).drop("_last")
 
 
@@ -71,7 +71,7 @@ def delta_step(keys: Sequence[str], ts: str, value: str, tie: str, on_reset: str
 
     def step(batch: DataFrame, state: DataFrame | None):
         cols = [*keys, ts, value, tie]
-        good, late = _split_late(batch.select(*cols), state, keys, ts)
+        good, late = _split_late(batch.select(*cols), state, keys, [ts, tie])
         rows = good.withColumn("_old", F.lit(False))
         if state is not None:
             rows = rows.unionByName(state.select(*cols).withColumn("_old", F.lit(True)))

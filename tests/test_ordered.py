@@ -143,3 +143,11 @@ def test_pareto_is_a_prefix(spark):
     kept = [r["k"] for r in pareto(df, "v", ["k"], 95).orderBy(F.col("v").desc()).collect()]
     assert kept == ["a", "b", "c"]  # 80 before c is below 95; 95 before d is not
     assert pareto(df, "v", ["k"], 100.5).count() == 5
+
+
+def test_running_sum_in_groups_with_negative_null_and_double_values(spark):
+    data = [("a", 1, 5.0), ("a", 2, -10.0), ("a", 3, 3.0), ("b", 1, 1e16), ("c", 1, 0.1), ("c", 2, 0.2), ("d", 1, None), ("d", 2, 4.0), (None, 1, -1.0), (None, 2, -1.0)]
+    df = spark.createDataFrame(data, "k string, i int, v double").repartition(5)
+    got = {(r.k, r.i): r.run for r in od.running_sum_in(df, ["k"], "v", ["i"], "run").collect()}
+    want = {("a", 1): 5.0, ("a", 2): -5.0, ("a", 3): -2.0, ("b", 1): 1e16, ("c", 1): 0.1, ("d", 1): None, ("d", 2): 4.0, (None, 1): -1.0, (None, 2): -2.0}
+    assert abs(got.pop(("c", 2)) - 0.3) < 1e-12 and got == want

@@ -185,3 +185,22 @@ def test_thresholds(spark):
     rules = [(">90", 91.0, True), (">90", 90.0, False), ("<>1", 2.0, True), ("=3", 3.0, True), ("<=5", 5.0, True), ("", 5.0, False)]
     df = spark.createDataFrame(rules, "t string, v double, want boolean")
     assert df.filter(al.breaches("t", "v") != F.col("want")).count() == 0
+
+
+def test_cumulative_tiers_keep_every_series(spark):
+    df = spark.createDataFrame([(at(0), "s1", 1), (at(0.05), "s2", 2), (at(5), "s1", 3)], "ts timestamp_ntz, k string, v bigint")
+    policy = ro.TierPolicy([ro.Tier("hour", 60, 5)], ["k"], "ts", ["v"], gauge=False)
+    got = policy.apply(df, F.lit(T0 + timedelta(days=1)))["hour"].collect()
+    assert sorted((r.k, r.v) for r in got) == [("s1", 1), ("s2", 2)]
+
+
+def test_job_names_by_the_last_ten_hex_digits(spark):
+    programs = spark.createDataFrame([("Agent - JobStep 0xFFEEab12CD34ef56 : 1",), ("app",), ("Agent - JobStep 0x000000000F : 2",)], "program string")
+    jobs = spark.createDataFrame([("0012CD34EF56", "nightly"), ("f", "short")], "id string, name string")
+    got = sorted(r.program for r in ss.resolve_job_name(programs, "program", jobs, "id", "name").collect())
+    assert got == ["Job = nightly", "Job = short", "app"]
+
+
+def test_long_ids_are_not_cut(spark):
+    got = [r[0] for r in spark.createDataFrame([(123456789012,), (7,)], "i bigint").select(text.pad_id("i")).collect()]
+    assert got == ["123456789012", "0000000007"]

@@ -1,6 +1,8 @@
 """Sinks, sources and streams: round trips, repeats and late rows."""
 
+import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,14 +23,22 @@ def test_append_new_is_idempotent(spark, tmp_path, rows):
     assert len(rows(spark.read.parquet(path))) == 3
 
 
-def test_archive_can_be_repeated(spark, tmp_path):
+def test_archive_keeps_every_row_and_can_be_repeated(spark, tmp_path, rows):
     staging, history = str(tmp_path / "s"), str(tmp_path / "h")
-    df = spark.range(5)
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b")], "k int, v string")
     df.write.parquet(staging)
-    wr.archive_and_clear(spark, staging, history, ["id"])
-    df.write.mode("overwrite").parquet(staging)  # as after a crash before the clearing
-    wr.archive_and_clear(spark, staging, history, ["id"])
-    assert spark.read.parquet(history).count() == 5 and spark.read.parquet(staging).count() == 0
+    shutil.copytree(staging, tmp_path / "before")
+    wr.archive_and_clear(spark, staging, history)
+    shutil.copytree(tmp_path / "before", staging, dirs_exist_ok=True)  # as after a crash before the clearing
+    for file in Path(staging).glob("part-*"):
+        if not (tmp_path / "before" / file.name).exists():
+            file.unlink()
+    wr.archive_and_clear(spark, staging, history)
+    assert rows(spark.read.parquet(history).select("k", "v")) == [(1, "a"), (1, "b"), (1, "b")]
+    assert spark.read.parquet(staging).count() == 0
+    df.write.mode("append").parquet(staging)
+    wr.archive_and_clear(spark, staging, history)
+    assert spark.read.parquet(history).count() == 6 and spark.read.parquet(staging).count() == 0
 
 
 def test_replace_table_with_its_own_content(spark, tmp_path, rows):
