@@ -36,6 +36,16 @@ def remainder(doc_id: Column | str, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def first_share(key: Column | str, wanted: int, rows: Column | int) -> Column:
+    """True for about ``2 * wanted`` of ``rows`` rows, chosen by a hash of the key.
+
+    Put before an ordered limit of ``wanted`` rows it bounds what the limit has to gather.
+    """
+    c = F.col(key) if isinstance(key, str) else key
+    place = F.pmod(F.xxhash64(c, F.lit("sample")), F.lit(2**31)) / 2**31
+    return place * rows <= 2 * wanted + 100
+
+
 def words_of(text: Column) -> Column:
     """All words of a text (null: none), as an array."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{GAP}|{GAP}$", "")

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from opskit.llm.common import remainder
+from opskit.llm.common import first_share, remainder
 
 DIMENSIONS = 1024
 N = 3
@@ -105,12 +105,18 @@ def document_vectors(texts: list[str], dimensions: int = DIMENSIONS, n: int = N)
 def prototypes(docs: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS, n: int = N) -> dict[str, list[float]]:
     """Language -> prototype, bundled from at most ``sample`` documents per language.
 
-    The sample is the first documents of each language by a hash of their id. Null or
+    The sample is chosen by a hash of the id. Null or
     letterless texts and null languages teach nothing.
     """
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", F.col("text").cast("string").alias("text"))
-    ids = known.select("lang", "doc_id", "text").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample)
+    sizes = known.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
+    sizes = sizes.sparkSession.createDataFrame(sizes.limit(LANGUAGES + 1).collect(), "_lang string, _n bigint")
+    if sizes.count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: raise LANGUAGES if their prototypes may be broadcast")
+    # about twice the sample of each language is gathered, whatever its share of all rows
+    some = known.join(F.broadcast(sizes), F.col("lang") == F.col("_lang")).where(first_share("doc_id", sample, F.col("_n")))
+    ids = some.select("lang", "doc_id", "text").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample)
 
     def bundle(batches):
         for batch in batches:
@@ -127,10 +133,7 @@ def prototypes(docs: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIO
 
     parts = ids.select("lang", "text").mapInArrow(bundle, "lang string, at int, v double")
     rows = parts.groupBy("lang", "at").agg(F.sum("v").alias("v")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("vs"))
-    found = {r.lang: [x.v for x in r.vs] for r in rows.limit(LANGUAGES + 1).collect()}
-    if len(found) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages: raise LANGUAGES if their prototypes may be broadcast")
-    return found
+    return {r.lang: [x.v for x in r.vs] for r in rows.collect()}
 
 
 def identify(docs: DataFrame, profiles: dict[str, list[float]], n: int = N) -> DataFrame:

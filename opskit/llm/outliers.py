@@ -19,7 +19,7 @@ STEPS = 4
 #: Vectors a language and source needs for an estimate of its own.
 MIN_GROUP = 100
 #: Squared Mahalanobis distance beyond which a vector is rejected.
-CUTOFF = 60.0
+CUTOFF = 90.0
 #: Smallest standard deviation of a statistic, in its transformed unit: many are constant.
 FLOORS = (0.35, 0.10, 0.15, 0.10, 0.30)
 #: MCD scatter of the central share is too small for normal data by this factor (five statistics).

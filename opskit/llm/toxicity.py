@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from opskit.llm.common import mix, ranges, remainder, text_bytes, word_hashes
+from opskit.llm.common import first_share, mix, ranges, remainder, text_bytes, word_hashes
 
 #: Labelled documents that are fitted, by one task: FTRL-proximal goes through them one by one.
 SAMPLE = 10_000
@@ -75,11 +75,11 @@ def fit_documents(rows: list[np.ndarray], labels: np.ndarray, alpha=ALPHA, beta=
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
     """Sparse model (sorted coordinates, weights, bias).
 
-    The sample is the first ``sample`` labelled ids by their hash; an id with several labels
+    The sample is at most ``sample`` labelled ids, chosen by their hash; an id with several labels
     counts as toxic if one says so; null labels and texts teach nothing.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # at most ``sample`` pairs of numbers are broadcast
+    chosen = known.where(first_share("_id", sample, known.count())).orderBy(F.xxhash64("_id"), "_id").limit(sample)  # at most ``sample`` pairs of numbers are broadcast
     rows = docs.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     rows = rows.select(F.lit(0).alias("all"), "_id", F.col("text").cast("string").alias("text"), "toxic")
 
