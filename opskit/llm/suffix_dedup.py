@@ -23,6 +23,9 @@ LENGTH = 400
 #: at last by whole strings, so that no group grows with the data.
 GRAMS = (64, 232, 316, 400)
 GROUP = 256
+#: Bits of the filter of repeated anchors that every task gets (512 KB). It only spares segments
+#: that cannot matter from being written; what passes it wrongly is counted and dropped later.
+FILTER_BITS = 1 << 22
 #: Bytes that are compared by multikey quicksort before blind tries take over.
 SHALLOW = 32
 
@@ -65,15 +68,41 @@ def segments(data: np.ndarray, offsets: np.ndarray, gram: int, length: int = LEN
 META = "doc_id bigint, _text bigint, start int, end int, anchor bigint, content bigint, weight bigint"
 
 
-def _cut(gram: int, length: int):
-    """Segments of pieces (doc_id, _text, offset, weight, bytes)."""
+def _anchors(gram: int, length: int):
+    """(anchor, weight) of every segment of the pieces."""
 
     def run(batches):
+        for batch in batches:
+            data, offsets = _binary(batch.column(4))
+            for a, b in ranges(offsets):
+                doc, _, _, anchor, _ = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), batch.column(3).take(pa.array(a + doc))], ["anchor", "weight"])
+
+    return run
+
+
+def _repeated(pieces: DataFrame, gram: int, length: int) -> np.ndarray:
+    """Packed bits of the anchors that occur at least twice."""
+    counts = pieces.mapInArrow(_anchors(gram, length), "anchor bigint, weight bigint").groupBy("anchor").agg(F.sum("weight").alias("n"))
+    # at most FILTER_BITS numbers, however many anchors there are
+    at = counts.where("n > 1").select(F.expr(f"anchor & {FILTER_BITS - 1}").cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()
+    bits = np.zeros(FILTER_BITS, bool)
+    bits[at] = True
+    return np.packbits(bits)
+
+
+def _cut(gram: int, length: int, packed: np.ndarray):
+    """Segments of pieces (doc_id, _text, offset, weight, bytes) whose anchor passes the filter."""
+
+    def run(batches):
+        bits = np.unpackbits(packed).astype(bool)
         for batch in batches:
             data, offsets = _binary(batch.column(4))
             base = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in ranges(offsets):
-                doc, start, end, anchor, content = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
+                found = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
+                keep = bits[(found[3] % np.uint64(FILTER_BITS)).astype(np.int64)]
+                doc, start, end, anchor, content = (x[keep] for x in found)
                 rows = pa.array(a + doc)
                 shift = base[a + doc]
                 yield pa.RecordBatch.from_arrays(
@@ -239,7 +268,7 @@ def _same_doc(left: str, right: str):
 
 def _level(pieces: DataFrame, texts: DataFrame, gram: int, length: int, group: int) -> tuple[list[DataFrame], DataFrame | None]:
     """Repeated spans among ``pieces`` and the segments of anchors with too many of them (as pieces)."""
-    meta = durable(pieces.mapInArrow(_cut(gram, length), META))
+    meta = durable(pieces.mapInArrow(_cut(gram, length, _repeated(pieces, gram, length)), META))
     size = F.col("end") - F.col("start")
     alike = meta.groupBy("anchor", "content", size.alias("size")).agg(F.sum("weight").alias("weight"), F.min(F.struct("doc_id", "_text", "start", "end")).alias("rep"))
     alike = durable(alike)
