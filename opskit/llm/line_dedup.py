@@ -94,7 +94,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Every run of lines with at least ``min_words`` words in all that has a copy at an earlier
     place (document id, text hash, line) is deleted. Lines without a word count as absent.
     """
-    lines = _lines(docs)
+    lines = durable(_lines(docs))  # texts are split once
     first, ranks = _ranks(lines, min_words)  # a run has a word per line at least
     windows = _windows(first, min_words).withColumn("k", F.floor(F.log2("n")).cast("int"))
     windows = windows.withColumn("z", F.expr("j + n - cast(shiftleft(1, k) as int)"))
@@ -122,7 +122,8 @@ def _joined(left: DataFrame, right: DataFrame, also: list[str], how: str = "inne
 
 def _with_lines(docs: DataFrame, min_words: int) -> DataFrame:
     gone = durable(deleted_lines(docs, min_words))
-    return _joined(_keyed(docs), gone.withColumnRenamed("lines", "_lines"), [], "left").drop(*DOC)
+    # the list of documents to change grows with the table: the same join at every size
+    return _joined(_keyed(docs), gone.withColumnRenamed("lines", "_lines").hint("merge"), [], "left").drop(*DOC)
 
 
 def _kept_text() -> Column:
