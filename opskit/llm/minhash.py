@@ -121,13 +121,17 @@ def _shared(reps: DataFrame, side: int, m: int) -> DataFrame:
     part = F.slice("short", side * m + 1, m)
     rows = reps.select("node", F.posexplode(part).alias("k", "h"))
     common = rows.groupBy("k", "h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("k", "h")
-    return rows.join(common, ["k", "h"]).groupBy("node").agg(F.collect_list(F.xxhash64(F.lit(side), "k", "h")).alias(f"h{side}"))
+    return rows.join(common, ["k", "h"]).groupBy("node").agg(F.collect_list(F.hash(F.lit(side), "k", "h")).alias(f"h{side}"))
 
 
-def _buckets(reps: DataFrame, m: int) -> DataFrame:
+def _table_key(a, b):
+    """Key of the table of two short hashes, one of each collection."""
+    return F.xxhash64(a, b)
+
+
+def _buckets(pairs: DataFrame) -> DataFrame:
     """(node, key) of every table key that two nodes share: a pair of short hashes, one of each collection."""
-    pairs = _shared(reps, 0, m).join(_shared(reps, 1, m), "node")
-    keys = pairs.select("node", F.explode(F.flatten(F.transform("h0", lambda a: F.transform("h1", lambda b: F.xxhash64(a, b))))).alias("key"))
+    keys = pairs.select("node", F.explode(F.flatten(F.transform("h0", lambda a: F.transform("h1", lambda b: _table_key(a, b))))).alias("key"))
     keyed = durable(keys)
     common = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     return keyed.join(common, "key")
@@ -139,6 +143,15 @@ def _alike(percent: int):
     return (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ <= DIFFER)
 
 
+def _first_table():
+    """Condition on a pair of a bucket that no smaller table key brings it together as well.
+
+    A pair shares the tables of all combinations of its common short hashes; one of them is
+    the one with the smallest hash of each collection, and only that table yields the pair.
+    """
+    return F.col("key") == _table_key(*[F.array_min(F.array_intersect(f"a_h{i}", f"b_h{i}")) for i in (0, 1)])
+
+
 def _named(df: DataFrame, prefix: str, *others: str) -> DataFrame:
     return df.select(*others, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in others])
 
@@ -181,7 +194,8 @@ def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent:
     named = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("node"))
     reps = durable(signed.where("n_shingles > 0").withColumnRenamed("doc_id", "node").join(named, [*key, "node"]).dropDuplicates(["node", *key]))
     info = reps.select("node", F.col("n_shingles").alias("n"), *SKETCH)
-    buckets = durable(_buckets(reps, m).join(info, "node"))
+    short = durable(_shared(reps, 0, m).join(_shared(reps, 1, m), "node"))
+    buckets = durable(_buckets(short).join(info, "node"))
     wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
     sets = durable(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "node bigint, members array<bigint>"))
 
@@ -199,12 +213,13 @@ def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent:
     edges = durable(edges.union(_confirmed(best.select("a", (-F.col("x.col2")).alias("b")), sets, percent)))
     roots = components(edges)
 
-    left = _open(left, roots)
+    # every open bucket of a pair holds both of its nodes: the pair is taken from one of them
+    left = _open(left, roots).join(short, "node")
     probe = _named(left.where("root <> major"), "a_", "key")
     other = _named(left, "b_", "key")
     # a pair across two components that are not the largest is met from both sides: keep one
     once = (F.col("b_root") == F.col("b_major")) | (F.col("a_node") < F.col("b_node"))
-    pairs = probe.join(other, "key").where((F.col("a_root") != F.col("b_root")) & once & _alike(percent))
+    pairs = probe.join(other, "key").where((F.col("a_root") != F.col("b_root")) & once & _alike(percent) & _first_table())
     pairs = pairs.select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b")).distinct()
     edges = durable(edges.union(_confirmed(pairs, sets, percent)))
     roots = components(edges)
