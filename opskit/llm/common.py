@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the jobs started inside: texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remainder(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the text ''."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from opskit.llm.common import durable, lowered, mix, mixed_sequence, prefix_hash, range_hash, ranges, text_bytes, word_ranges
+from opskit.llm.common import batches_of, durable, lowered, mix, mixed_sequence, prefix_hash, range_hash, ranges, text_bytes, word_ranges
 
 SHINGLE = 5
 PERCENT = 75
@@ -21,6 +21,8 @@ M, R = 22, 4
 #: One bit of each of 256 minhashes. A pair at 0.75 differs in 32 bits on average, with a standard
 #: deviation of 5.3; pairs that differ in more than DIFFER bits (6 deviations) are not confirmed.
 BITS, DIFFER = 256, 64
+#: Texts of an Arrow batch, and bytes of text that are hashed at once in a task.
+ROWS, BYTES = 1000, 1 << 18
 SKETCH = [f"s{i}" for i in range(BITS // 64)]
 
 
@@ -47,7 +49,7 @@ def _signatures(m: int, r: int, size: int):
     def run(batches):
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for a, b in ranges(offsets):
+            for a, b in ranges(offsets, BYTES):
                 sets = list(_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size))
                 n = np.array([len(s) for s in sets])
                 full = np.flatnonzero(n)
@@ -81,7 +83,7 @@ def _sets(size: int):
     def run(batches):
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for a, b in ranges(offsets):
+            for a, b in ranges(offsets, BYTES):
                 sets = list(_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size))
                 at = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
@@ -189,7 +191,8 @@ def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent:
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = f"doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, {', '.join(f'{c} bigint' for c in SKETCH)}, short array<bigint>"
-    signed = durable(plain.mapInArrow(_signatures(m, r, size), schema))
+    with batches_of(docs.sparkSession, ROWS):
+        signed = durable(plain.mapInArrow(_signatures(m, r, size), schema))
     key = ["n_shingles", "set1", "set2"]
     named = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("node"))
     reps = durable(signed.where("n_shingles > 0").withColumnRenamed("doc_id", "node").join(named, [*key, "node"]).dropDuplicates(["node", *key]))
@@ -197,7 +200,8 @@ def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent:
     short = durable(_shared(reps, 0, m).join(_shared(reps, 1, m), "node"))
     buckets = durable(_buckets(short).join(info, "node"))
     wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
-    sets = durable(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "node bigint, members array<bigint>"))
+    with batches_of(docs.sparkSession, ROWS):
+        sets = durable(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "node bigint, members array<bigint>"))
 
     one = _named(buckets, "a_", "key")
     pivot = _named(buckets, "b_", "key").groupBy("key").agg(F.min(F.struct("b_node", "b_n", *[f"b_{c}" for c in SKETCH])).alias("p")).select("key", "p.*")
