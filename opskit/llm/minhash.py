@@ -18,9 +18,9 @@ PERCENT = 75
 #: Short hashes in a collection, and minhashes in a short hash. A pair at 0.75 shares a table with
 #: probability (1 - (1 - 0.75**4)**22)**2 = 0.9995, one at 0.8 with 0.99998.
 M, R = 22, 4
-#: One bit of each of 256 minhashes. A pair at 0.75 differs in 32 bits on average, with a standard
-#: deviation of 5.3; pairs that differ in more than DIFFER bits (6 deviations) are not confirmed.
-BITS, DIFFER = 256, 64
+#: One bit of each of 512 minhashes. A pair at 0.75 differs in 64 bits on average, with a standard
+#: deviation of 7.5; pairs that differ in more than DIFFER bits (6 deviations) are not confirmed.
+BITS, DIFFER = 512, 109
 #: Texts of an Arrow batch, and bytes of text that are hashed at once in a task.
 ROWS, BYTES = 1000, 1 << 18
 SKETCH = [f"s{i}" for i in range(BITS // 64)]
