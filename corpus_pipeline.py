@@ -11,8 +11,18 @@ from opskit.llm import decontaminate, langid, line_dedup, minhash, packing
 from opskit.llm.common import shared_folder
 
 
+#: Texts in an Arrow batch: batches of long texts are what fills an executor beside the heap.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """The pipeline's stages are lazy, so the session's setting holds until they are written."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised stay."""
+    _small_batches(spark)
     return langid.keep_identified(docs)
 
 
@@ -23,16 +33,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    _small_batches(spark)
     return minhash.deduplicate(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    _small_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
+    _small_batches(spark)
     return packing.pack(docs)
 
 
