@@ -42,14 +42,42 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
+def _own_repeats(prefix: np.ndarray, h: np.ndarray, lowest: np.ndarray, begin: np.ndarray, end: np.ndarray, gram: int, length: int) -> np.ndarray:
+    """True for segments that hold a string twice (periodic text): their anchor's gram lies at two places."""
+    own = np.zeros(len(begin), bool)
+    if gram >= length or not len(begin):
+        return own
+    # a repeated string puts its anchor's gram at places that are first or last in a window, with no other lowest gram between
+    width = length - gram + 1
+    lows = np.zeros(len(h), bool)
+    lows[: len(lowest)] = h[: len(lowest)] == lowest
+    lows[width - 1 :] |= h[width - 1 :] == lowest
+    at = np.flatnonzero(lows)
+    pair = np.flatnonzero(h[at[1:]] == h[at[:-1]])
+    if not len(pair):
+        return own
+    left, right = at[pair], np.append(at[pair + 1], len(h))
+    own = right[np.searchsorted(left, begin)] <= end - gram
+    some = np.flatnonzero(own)
+    n = end[some] - length - begin[some] + 1
+    segment = np.repeat(np.arange(len(some)), n)
+    start = begin[some][segment] + np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
+    string = range_hash(prefix, start, start + length)
+    order = np.lexsort((string, segment))
+    twice = (string[order][1:] == string[order][:-1]) & (segment[order][1:] == segment[order][:-1])
+    own[some] = np.bincount(segment[order][1:][twice], minlength=len(some)) > 0
+    return own
+
+
 def segments(data: np.ndarray, offsets: np.ndarray, gram: int, length: int = LENGTH):
-    """(document, start, end, anchor, content hash) of all segments of a chunk."""
+    """(document, start, end, anchor, content hash, own) of all segments of a chunk; ``own``: a string occurs in it twice."""
     starts = np.arange(len(data) - length + 1) if len(data) >= length else np.zeros(0, np.int64)
     if not len(starts):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
     prefix = prefix_hash(data)
     grams = np.arange(len(data) - gram + 1)
-    lowest = _sliding_min(range_hash(prefix, grams, grams + gram), length - gram + 1)
+    h = range_hash(prefix, grams, grams + gram)
+    lowest = _sliding_min(h, length - gram + 1)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     whole = doc[: len(starts)] == doc[length - 1 :]  # strings inside one document
     new = np.ones(len(starts), bool)
@@ -62,27 +90,29 @@ def segments(data: np.ndarray, offsets: np.ndarray, gram: int, length: int = LEN
     stop = np.append(np.flatnonzero(new), len(starts))
     end = stop[np.searchsorted(stop, begin, "right")] - 1 + length
     at = doc[begin]
-    return at, begin - offsets[at], end - offsets[at], lowest[begin], range_hash(prefix, begin, end)
+    own = _own_repeats(prefix, h, lowest, begin, end, gram, length)
+    return at, begin - offsets[at], end - offsets[at], lowest[begin], range_hash(prefix, begin, end), own
 
 
-META = "doc_id bigint, _text bigint, start int, end int, anchor bigint, content bigint, weight bigint"
+META = "doc_id bigint, _text bigint, start int, end int, anchor bigint, content bigint, weight bigint, own boolean"
 
 
 def _anchors(gram: int, length: int):
-    """(anchor, weight) of every segment of the pieces."""
+    """(anchor, weight) of every segment of the pieces; a string that a segment holds twice counts once more."""
 
     def run(batches):
         for batch in batches:
             data, offsets = _binary(batch.column(4))
             for a, b in ranges(offsets):
-                doc, _, _, anchor, _ = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), batch.column(3).take(pa.array(a + doc))], ["anchor", "weight"])
+                doc, _, _, anchor, _, own = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
+                weight = batch.column(3).to_numpy(zero_copy_only=False)[a + doc] + own
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(weight, pa.int64())], ["anchor", "weight"])
 
     return run
 
 
 def _repeated(pieces: DataFrame, gram: int, length: int) -> np.ndarray:
-    """Packed bits of the anchors that occur at least twice."""
+    """Packed bits of the anchors that occur at least twice or whose segment holds a string twice."""
     counts = pieces.mapInArrow(_anchors(gram, length), "anchor bigint, weight bigint").groupBy("anchor").agg(F.sum("weight").alias("n"))
     # at most FILTER_BITS numbers, however many anchors there are
     at = counts.where("n > 1").select(F.expr(f"anchor & {FILTER_BITS - 1}").cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()
@@ -102,12 +132,12 @@ def _cut(gram: int, length: int, packed: np.ndarray):
             for a, b in ranges(offsets):
                 found = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
                 keep = bits[(found[3] % np.uint64(FILTER_BITS)).astype(np.int64)]
-                doc, start, end, anchor, content = (x[keep] for x in found)
+                doc, start, end, anchor, content, own = (x[keep] for x in found)
                 rows = pa.array(a + doc)
                 shift = base[a + doc]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array((start + shift).astype(np.int32)), pa.array((end + shift).astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column(3).take(rows)],
-                    ["doc_id", "_text", "start", "end", "anchor", "content", "weight"],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array((start + shift).astype(np.int32)), pa.array((end + shift).astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column(3).take(rows), pa.array(own)],
+                    ["doc_id", "_text", "start", "end", "anchor", "content", "weight", "own"],
                 )
 
     return run
@@ -270,14 +300,14 @@ def _level(pieces: DataFrame, texts: DataFrame, gram: int, length: int, group: i
     """Repeated spans among ``pieces`` and the segments of anchors with too many of them (as pieces)."""
     meta = durable(pieces.mapInArrow(_cut(gram, length, _repeated(pieces, gram, length)), META))
     size = F.col("end") - F.col("start")
-    alike = meta.groupBy("anchor", "content", size.alias("size")).agg(F.sum("weight").alias("weight"), F.min(F.struct("doc_id", "_text", "start", "end")).alias("rep"))
+    alike = meta.groupBy("anchor", "content", size.alias("size")).agg(F.sum("weight").alias("weight"), F.max("own").alias("own"), F.min(F.struct("doc_id", "_text", "start", "end")).alias("rep"))
     alike = durable(alike)
     copied = alike.where("weight > 1").select("anchor", "content", "size")
     full = meta.withColumn("size", size).join(copied, ["anchor", "content", "size"]).select("doc_id", "_text", "start", "end")
     if gram >= length:
         return [full], None
-    # anchors with several segments, at least one of which occurs once
-    groups = alike.groupBy("anchor").agg(F.count("*").alias("segments"), F.min("weight").alias("least")).where("segments > 1 and least = 1").select("anchor", "segments")
+    # anchors with several segments or strings twice in one, at least one segment of which occurs once
+    groups = alike.groupBy("anchor").agg(F.count("*").alias("segments"), F.min("weight").alias("least"), F.max("own").alias("own")).where("(segments > 1 or own) and least = 1").select("anchor", "segments")
     open_ = alike.join(groups, "anchor").select("anchor", "segments", "weight", "rep.*")
     wanted = open_.groupBy(F.col("doc_id").alias("w_doc_id"), F.col("_text").alias("w__text")).agg(F.collect_list(F.struct("anchor", "segments", "weight", "start", "end")).alias("cuts"))
     # at most the segments of one document in a list

@@ -58,6 +58,19 @@ def test_production_length(docs):
     assert s.deduplicate(docs([])).count() == 0
 
 
+def test_isolated_periodic_stretches_at_production_length(docs):
+    rng = random.Random(10)
+    text = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    rows = []
+    for i, (period, size) in enumerate([(1, 401), (1, 735), (3, 410), (7, 450), (50, 450), (50, 449), (100, 500), (120, 600), (199, 600), (200, 735), (335, 735), (340, 735)]):
+        rows.append((i, text(500) + (text(period) * 800)[:size] + text(500)))
+    rows += [(20, (text(60) * 20)[:480]), (21, text(900))]
+    want = brute(rows, 400)
+    assert sum(r[2] > 0 for r in want) == 11
+    got = sorted((tuple(r)[:5] for r in s.deduplicate(docs(rows)).collect()), key=repr)
+    assert got == want
+
+
 def test_sorted_groups_are_in_order_and_complete():
     rng = random.Random(9)
     for length in (12, 40):
