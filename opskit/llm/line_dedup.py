@@ -48,7 +48,8 @@ def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def _ranks(lines: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
     """(repeated lines, ranks (document, j, k, r) of repeated suffixes cut to 2**k lines)."""
-    first = durable(_ranked(lines, ["n1", "n2"]))
+    # rows alike in id and text are one; a line that only they hold is not repeated
+    first = durable(_ranked(lines, ["n1", "n2"]).dropDuplicates([*DOC, "j"]))
     level, k = first.select(*DOC, "j", "r"), 0
     found = level.withColumn("k", F.lit(0))
     while 2 ** (k + 1) <= longest:

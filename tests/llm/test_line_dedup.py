@@ -65,6 +65,23 @@ def test_long_document_repeated_rows_and_null_ids(docs):
     assert got[7, 2].n_deleted == 1 and got[7, 2].kept
 
 
+def test_runs_of_short_lines_in_repeated_rows(docs):
+    run = [f"{i} " + "b c d e f g h i j" for i in range(10)]
+    text = "\n".join(["own first", *run, "own last"])
+    later = "\n".join(["other first", *run[:8], "other last"])
+    last = "\n".join(["third first", *run, "third last"])
+    rows = [(5, text), (5, text), (9, later), (9, later), (12, last), (None, "\n".join(run[3:])), (None, "\n".join(run[3:])), (None, "\n".join(run[3:]))]
+    got = sorted(tuple(r) for r in line_dedup.report(docs(rows)).collect() if r.doc_id is not None)
+    # null ids come first: runs that lie in their text have their earlier copy there
+    want = {(d, n) for d, _, n, _, _ in got}
+    assert want == {(5, 7), (9, 8), (12, 10)} and len(got) == 5
+    assert {r.n_deleted for r in line_dedup.report(docs(rows)).collect() if r.doc_id is None} == {0}
+    alone = sorted(tuple(r) for r in line_dedup.report(docs(rows[:5])).collect())
+    assert alone == sorted([brute(rows[:5:2], 50)[0]] * 2 + [brute([rows[0], rows[2], rows[4]], 50)[1]] * 2 + [brute([rows[0], rows[2], rows[4]], 50)[2]])
+    # a text that only repeated rows hold is kept whole
+    assert {r.n_deleted for r in line_dedup.report(docs(rows[:2])).collect()} == {0}
+
+
 def test_stage(docs):
     rows = corpus()
     kept = line_dedup.deduplicate(docs(rows), 12)
