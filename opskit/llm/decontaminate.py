@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from opskit.llm.common import durable, mixed_sequence, ranges, text_bytes, word_hashes
 
 K1, B = 1.2, 0.75
-#: Words of a passage and between passage starts: items of up to their difference lie in one passage.
-PASSAGE, STRIDE = 192, 96
+#: Words between passage starts, and of items that are searched with them. A passage has two strides,
+#: so every copy of an item lies in one; longer items are searched with strides doubled until they fit.
+STRIDE = 96
 THRESHOLD = 0.55
 #: Shares of the word 3-grams of question and answer that must be in the passage.
 QUESTION, ANSWER, GRAM = 0.6, 0.4, 3
@@ -167,7 +168,7 @@ def _share(grams: np.ndarray, part: np.ndarray) -> float:
     return float(np.isin(own, grams).mean()) if len(own) else 1.0
 
 
-def _find(shard: Shard, threshold: float, question: float, answer: float):
+def _find(shard: Shard, threshold: float, question: float, answer: float, stride: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
@@ -180,16 +181,16 @@ def _find(shard: Shard, threshold: float, question: float, answer: float):
                 at[at == len(shard.terms)] = 0
                 known = shard.terms[at] == h if len(shard.terms) else np.zeros(len(h), bool)
                 n = np.diff(before)
-                halves = np.maximum(1, -(-n // STRIDE))
+                halves = np.maximum(1, -(-n // stride))
                 half0 = np.concatenate(([0], np.cumsum(halves)))
                 owner = np.repeat(np.arange(b - a), n)
-                half = half0[owner] + (np.arange(len(h)) - before[owner]) // STRIDE
+                half = half0[owner] + (np.arange(len(h)) - before[owner]) // stride
                 last = np.zeros(half0[-1], bool)
                 last[half0[1:] - 1] = True
                 for p in shard.candidates(at[known], half[known], last, threshold).tolist():
                     d = int(np.searchsorted(half0, p, "right")) - 1
-                    lo = int(before[d]) + (p - int(half0[d])) * STRIDE
-                    hi = min(lo + PASSAGE, int(before[d + 1]))
+                    lo = int(before[d]) + (p - int(half0[d])) * stride
+                    hi = min(lo + 2 * stride, int(before[d + 1]))
                     terms = np.unique(at[lo:hi][known[lo:hi]])
                     if shard.top[terms].sum() < threshold - 1e-9:
                         continue
@@ -215,24 +216,28 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, que
 
     A null or empty text holds no passage, an item without a word is never found, and repeated
     rows give one pair. Documents with a null id are reported under the id null. The index is
-    cut into shards of at most ``shard_words`` words (one item at least); all documents are
-    searched against one shard after another.
+    cut by item length (up to 96 words, 192, 384, ...; passages are twice as long) and into
+    shards of at most ``shard_words`` words (one item at least); all documents are searched
+    against one shard after another.
     """
     spark = docs.sparkSession
     words = index(items)
     sizes = words.groupBy("item_id").agg(F.count("*").alias("n"))
-    running = W.partitionBy("group").orderBy("item_id").rowsBetween(W.unboundedPreceding, 0)
+    running = W.partitionBy("stride", "group").orderBy("item_id").rowsBetween(W.unboundedPreceding, 0)
     # items are dealt to groups by hash, and every group is cut into shards
     groups = max(1, -(-words.count() // (8 * shard_words)))
-    cut = sizes.withColumn("group", F.pmod(F.xxhash64("item_id"), F.lit(groups))).withColumn("part", F.floor((F.sum("n").over(running) - 1) / shard_words)).select("item_id", "group", "part")
+    stride = (STRIDE * F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("n") / STRIDE))))).cast("bigint")
+    dealt = sizes.withColumns({"stride": stride, "group": F.pmod(F.xxhash64("item_id"), F.lit(groups))})
+    cut = dealt.withColumn("part", F.floor((F.sum("n").over(running) - 1) / shard_words)).select("item_id", "stride", "group", "part")
     placed = durable(words.join(cut, "item_id"))
     out = None
     for g in range(groups):
-        for (part,) in sorted(placed.where(F.col("group") == g).select("part").distinct().collect()):
-            got = placed.where((F.col("group") == g) & (F.col("part") == part)).select("item_id", "at", "term", "answer_at", "impact").toPandas()
+        here = placed.where(F.col("group") == g)
+        for size, part in sorted(here.select("stride", "part").distinct().collect()):
+            got = here.where((F.col("stride") == size) & (F.col("part") == part)).select("item_id", "at", "term", "answer_at", "impact").toPandas()
             shard = Shard(*(got[c].to_numpy() for c in ("item_id", "at", "term", "answer_at", "impact")))
             some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-                _find(shard, threshold, question, answer), "doc_id bigint, item_id bigint, question_overlap double, answer_overlap double"
+                _find(shard, threshold, question, answer, size), "doc_id bigint, item_id bigint, question_overlap double, answer_overlap double"
             )
             out = some if out is None else out.union(some)
     if out is None:

@@ -45,6 +45,19 @@ def test_planted_items_are_found_and_nothing_else(spark, docs, prose):
     assert {r.doc_id for r in clean.collect()} == {x for x, _ in rows} - set(truth) - {202, None}
 
 
+def test_long_items_are_found_wherever_their_copy_lies(spark, docs, prose):
+    tests = items(prose, 30) + [(100 + n, f"{prose(n, n - 10, 900)}. {prose(n + 1, 10, 900)}.") for n in (97, 150, 250, 600)]
+    rows, truth = [], {}
+    for item, text in tests[30:]:
+        for at in range(0, 1300, 37):
+            doc = len(rows)
+            rows.append((doc, f"{prose(3000 + doc, at, 900)} {text} {prose(9000 + doc, 700, 900)}"))
+            truth[doc] = {item}
+    rows += [(10_000, prose(1, 2000, 900)), (10_001, tests[33][1].split(". ")[0]), (10_002, tests[3][1])]
+    got = d.report(docs(rows), bench(spark, tests)).collect()
+    assert {r.doc_id: {int(x) for x in r.item_ids.split(",")} for r in got if r.contaminated} == truth | {10_002: {3}}
+
+
 def test_empty_tables(spark, docs, prose):
     rows = [(1, prose(1, 50)), (2, None)]
     assert {r.contaminated for r in d.report(docs(rows), bench(spark, [])).collect()} == {False}
