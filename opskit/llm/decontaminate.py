@@ -25,8 +25,11 @@ QUESTION, ANSWER, GRAM = 0.6, 0.4, 3
 SHARD_WORDS = 500_000
 #: Items of a posting block.
 BLOCK = 8
-#: Terms of more than this share of the items are common: they alone never make a candidate.
+#: Terms of more than this share of the items are common: they open a candidate only for items
+#: that could reach the threshold by common terms alone.
 COMMON = 0.02
+#: Postings that are read at once when candidates are looked for.
+READ = 1 << 20
 
 
 def _item_terms(batches):
@@ -93,31 +96,59 @@ class Shard:
         self.block_first = np.searchsorted(key, np.arange(len(self.terms) + 1) * self.blocks)
         self.block = key % self.blocks
         self.block_max = np.maximum.reduceat(self.impact, start) if len(start) else np.zeros(0)
-        # the share of each item's score that its common terms give
         self.common = size > max(3, COMMON * len(self.items))
-        self.common_share = np.bincount(self.post[self.common[owner]], self.impact[self.common[owner]], minlength=len(self.items))
+        self.owner, self.opened = owner, {}
+
+    def _opening(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Postings that open candidates (first of each term, item, impact) and the share each item gets without them.
+
+        Rare terms always open. Of an item's common terms the rarest ones open too, until those
+        left stay below the threshold together: a passage that reaches it holds an opening term.
+        """
+        if threshold not in self.opened:
+            order = np.lexsort((self.owner, -np.diff(self.first)[self.owner], self.post))  # commonest first, per item
+            shared = self.common[self.owner[order]]
+            gain = np.where(shared, self.impact[order], 0.0)
+            total = np.cumsum(gain)
+            begin = np.searchsorted(self.post[order], np.arange(len(self.items)))
+            total -= (total - gain)[begin][self.post[order]] if len(order) else 0.0
+            closed = np.zeros(len(order), bool)
+            closed[order] = shared & (total < threshold - 1e-6)
+            rest = np.bincount(self.post[closed], self.impact[closed], minlength=len(self.items))
+            keep = ~closed
+            first = np.concatenate(([0], np.cumsum(keep)))[self.first]
+            self.opened[threshold] = first, self.post[keep], self.impact[keep], rest
+        return self.opened[threshold]
 
     def candidates(self, term: np.ndarray, half: np.ndarray, last: np.ndarray, threshold: float) -> np.ndarray:
         """Passages (named by their first half) that can reach the threshold for some item.
 
-        ``term`` and ``half`` are the known words of all half passages. Only the lists of rare
-        terms are read; common terms count with all they can give an item.
+        ``term`` and ``half`` are the known words of all half passages. Only opening postings
+        are read; the others count with all they can give an item. A passage counts what opens
+        in either of its halves.
         """
-        rare = ~self.common[term]
-        pair = np.unique(half[rare] * len(self.terms) + term[rare])
-        half, term = pair // max(1, len(self.terms)), pair % max(1, len(self.terms))
-        size = self.first[term + 1] - self.first[term]
-        at = np.repeat(self.first[term], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        first, post, gain, rest = self._opening(threshold)
         n = len(self.items)
-        key, where = np.unique(np.repeat(half, size) * n + self.post[at], return_inverse=True)
-        if not len(key):
-            return key
-        bound = np.bincount(where, self.impact[at], minlength=len(key))
-        follow = np.searchsorted(key, key + n)
-        follow[follow == len(key)] = 0
-        there = (key[follow] == key + n) & ~last[key // n]
-        total = bound + np.where(there, bound[follow], 0.0) + self.common_share[key % n]
-        return np.unique(key[total >= threshold - 1e-9] // n)
+        pair = np.unique(half * len(self.terms) + term)
+        half, term = pair // max(1, len(self.terms)), pair % max(1, len(self.terms))
+        size = first[term + 1] - first[term]
+        half, term, size = half[size > 0], term[size > 0], size[size > 0]
+        read = np.cumsum(size)
+        out, a = [np.zeros(0, np.int64)], 0
+        while a < len(half):  # some halves at once: passages that begin in [half[a], end) and the one before
+            b = max(int(np.searchsorted(read, read[a] - size[a] + READ, "right")), int(np.searchsorted(half, half[a], "right")))
+            b = int(np.searchsorted(half, half[b - 1], "right")) if b < len(half) else b
+            stop = half[b] if b < len(half) else len(last)
+            z = int(np.searchsorted(half, stop, "right"))  # the half behind counts for its predecessor
+            s, h = size[a:z], half[a:z]
+            at = np.repeat(first[term[a:z]], s) + np.arange(s.sum()) - np.repeat(np.cumsum(s) - s, s)
+            place, item, impact = np.repeat(h, s), post[at], gain[at]
+            back = (place > 0) & ~last[place - 1]
+            key, where = np.unique(np.concatenate((place * n + item, (place[back] - 1) * n + item[back])), return_inverse=True)
+            bound = np.bincount(where, np.concatenate((impact, impact[back])), minlength=len(key)) + rest[key % n]
+            out.append(np.unique(key[(bound >= threshold - 1e-9) & (key < stop * n)] // n))
+            a = b
+        return np.unique(np.concatenate(out))
 
     def _block_top(self, term: int, block: int) -> float:
         a, z = self.block_first[term], self.block_first[term + 1]

@@ -83,3 +83,38 @@ def test_block_max_wand_finds_every_item_above_the_threshold(spark, prose, thres
         half = np.zeros(len(query), int)
         if len(want) and (dense[:, query[~shard.common[query]]][want].sum(axis=1) > 0).any():
             assert shard.candidates(query, half, np.array([True]), threshold).tolist() == [0]
+
+
+def test_items_of_common_words_and_copies_across_a_border(spark, docs, prose):
+    number = ["one", "two", "three", "four", "five", "six"]
+    sums = [(300 + 36 * k + 6 * i + j, f"What is {a} {op} {b} please now? The answer is {a} {op} {b}.") for k, op in enumerate(("plus", "minus")) for i, a in enumerate(number) for j, b in enumerate(number)]
+    same = f"{prose(70, 20, 900)}. {prose(71, 8, 900)}."
+    # only the last words are rare
+    tail = "What is one plus two please now? The answer is one plus zebra quagga."
+    tests = items(prose) + sums + [(500 + i, same) for i in range(7)] + [(600, tail)]
+    rows = [(1, f"{prose(1, 50, 10**9)} {sums[8][1]} {prose(2, 150, 10**9)}"), (2, f"{prose(3, 90, 10**9)} {same} {prose(4, 20, 10**9)}")]
+    rows += [(10 + at, f"{prose(5, at, 10**9)} {tail} {prose(6, 120, 10**9)}") for at in range(80, 100)]
+    got = {r.doc_id: {int(x) for x in r.item_ids.split(",") if x} for r in d.report(docs(rows), bench(spark, tests)).collect()}
+    assert sums[8][0] in got[1] and got[2] == set(range(500, 507))
+    assert all(600 in got[10 + at] for at in range(80, 100))
+
+
+@pytest.mark.parametrize("read", [1, 300, 1 << 20])
+@pytest.mark.parametrize("threshold", [0.3, 0.55, 0.8])
+def test_candidates_hold_every_passage_above_the_threshold(spark, prose, monkeypatch, threshold, read):
+    monkeypatch.setattr(d, "READ", read)
+    # every word is in many items
+    found = d.index(bench(spark, [(i, f"{prose(i, 12, 40)}. {prose(900 + i, 5, 4000)}" if i % 3 else prose(i, 12, 40)) for i in range(90)])).toPandas()
+    shard = d.Shard(*(found[c].to_numpy() for c in ("item_id", "at", "term", "answer_at", "impact")))
+    dense = np.zeros((len(shard.items), len(shard.terms)))
+    for t in range(len(shard.terms)):
+        a, b = shard.first[t], shard.first[t + 1]
+        dense[shard.post[a:b], t] = shard.impact[a:b]
+    rng = np.random.default_rng(6)
+    halves, last = 120, rng.random(120) < 0.3
+    last[-1] = True
+    words = [rng.permutation(len(shard.terms))[: rng.integers(0, 5)] if rng.random() < 0.5 else np.flatnonzero(dense[rng.integers(90)])[rng.integers(0, 4) :: rng.integers(1, 3)] for _ in range(halves)]
+    want = {p for p in range(halves) if (dense[:, np.unique(np.concatenate((words[p], words[p + 1] if not last[p] else words[p]))).astype(int)].sum(axis=1) >= threshold - 1e-9).any()}
+    term, half = np.concatenate(words).astype(int), np.repeat(np.arange(halves), [len(w) for w in words])
+    got = shard.candidates(term, half, last, threshold).tolist()
+    assert got == sorted(set(got)) and want <= set(got) and len(want) > 5
