@@ -21,10 +21,12 @@ from opskit.llm.common import durable, ranges, text_bytes, trimmed_words
 KINDS = ("email", "ip", "card", "phone", "generalised", "removed")
 #: Words on either side of an entity that count as occurring together with it.
 WINDOW = 12
-#: Different contexts an entity and a term must share; copies of one passage are one context.
+#: Different contexts an entity and a term must share; copies of one passage are one context. An
+#: entity with two contexts must share both: a term next to one context only is not rated, as every
+#: word that occurs once would reveal what stands beside it.
 MIN_CONTEXTS = 3
 GENERALISE, REMOVE = 0.7, 0.9
-#: Bytes of the shortest word that is a term.
+#: Bytes of the shortest word that is a term without a capital, digit or letter beyond ASCII.
 MIN_BYTES = 4
 #: Bits of the filter of candidate terms that every task gets (128 KB); an exact join follows it.
 FILTER_BITS = 1 << 20
@@ -89,11 +91,13 @@ def _joined(spans) -> str:
 
 
 def _is_term(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Words of letters only (any byte beyond ASCII counts as one) with enough bytes."""
+    """Words with a letter or digit (any byte beyond ASCII counts as one) that are long enough or look like a name or number."""
     low = data | 0x20
-    other = ~(((low >= 97) & (low <= 122)) | (data >= 128))
-    bad = np.concatenate(([0], np.cumsum(other)))
-    return (end - start >= MIN_BYTES) & (bad[end] == bad[start])
+    digit = (data >= 48) & (data <= 57)
+    marked = digit | (data >= 128) | ((data >= 65) & (data <= 90))
+    solid = marked | ((low >= 97) & (low <= 122))
+    has = lambda x: (n := np.concatenate(([0], np.cumsum(x))))[end] > n[start]
+    return has(marked) | (has(solid) & (end - start >= MIN_BYTES))
 
 
 _COLUMNS = ["doc_id", "_text", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "found", "entity", "term", "context"]
@@ -137,8 +141,8 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], _COLUMNS)
 
 
-def _occurrences(bits: np.ndarray):
-    """(doc_id, _text, term, start, end) of the words whose hash is in the filter; code points."""
+def _occurrences(bits: np.ndarray, once: bool = False):
+    """(doc_id, _text, term, start, end) of the words whose hash is in the filter; code points. ``once``: one per document."""
 
     def run(batches):
         for batch in batches:
@@ -147,8 +151,14 @@ def _occurrences(bits: np.ndarray):
             for a, b in ranges(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 h, start, end, before = trimmed_words(part, at)
-                hit = np.flatnonzero(bits[(h % np.uint64(FILTER_BITS)).astype(np.int64)] & _is_term(part, start, end))
+                hit = np.flatnonzero(bits[(h % np.uint64(FILTER_BITS)).astype(np.int64)])
                 doc = np.searchsorted(before, hit, "right") - 1
+                if once:
+                    order = np.lexsort((h[hit], doc))
+                    hit, doc = hit[order], doc[order]
+                    new = np.ones(len(hit), bool)
+                    new[1:] = (h[hit[1:]] != h[hit[:-1]]) | (doc[1:] != doc[:-1])
+                    hit, doc = hit[new], doc[new]
                 points = np.concatenate(([0], np.cumsum((part & 0xC0) != 0x80)))  # code points before each byte
                 first = points[at[doc]]
                 rows = pa.array(a + doc)
@@ -173,9 +183,10 @@ def disclosing_terms(scanned: DataFrame, plain: DataFrame, generalise: float, re
     """
     spark = plain.sparkSession
     triples = scanned.where("size(entity) > 0").select(F.explode(F.arrays_zip("entity", "term", "context")).alias("x")).select("x.*").distinct()
-    shared = durable(triples.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts))
+    shared = durable(triples.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min(2, min_contexts)))
     entities = shared.where("term = 0").select("entity", F.col("both").alias("n_entity"))
-    candidates = shared.where("term <> 0")
+    enough = F.col("both") >= F.least(F.lit(min_contexts), F.col("n_entity"))
+    candidates = durable(shared.where("term <> 0").join(entities, "entity").where(enough))
     bits = np.zeros(FILTER_BITS, bool)
     # at most FILTER_BITS numbers, however many candidates there are
     filled = candidates.select(F.expr(f"term & {FILTER_BITS - 1}").cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()
@@ -183,14 +194,22 @@ def disclosing_terms(scanned: DataFrame, plain: DataFrame, generalise: float, re
     places = "doc_id bigint, _text bigint, term bigint, start int, end int"
     if not len(filled):
         return spark.createDataFrame([], "term bigint, kind string"), spark.createDataFrame([], places)
-    terms = candidates.select("term").distinct()
+    # a term whose texts are far more than a disclosing share allows is not written word by word;
+    # twice the bound and more is far outside the error of the estimate
+    total = plain.select("_text").distinct().count()
+    seen = plain.mapInArrow(_occurrences(bits, once=True), places).groupBy("term").agg(F.approx_count_distinct("_text", 0.03).alias("seen"))
+    most = F.max(F.least("both", "n_entity") * F.pow(F.lit(float(max(1, total))) / F.col("n_entity"), F.lit(1.0 - min(generalise, remove))))
+    terms = durable(candidates.groupBy("term").agg(most.alias("most")).join(seen, "term").where("seen <= 2 * most + 10").select("term"))
+    bits = np.zeros(FILTER_BITS, bool)
+    # at most FILTER_BITS numbers again
+    bits[terms.select(F.expr(f"term & {FILTER_BITS - 1}").cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()] = True
     found = durable(plain.mapInArrow(_occurrences(bits), places).join(terms, "term", "left_semi").select("doc_id", "_text", "term", "start", "end"))
     n_term = found.select("term", "_text").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    total = F.lit(plain.select("_text").distinct().count())
+    total = F.lit(total)
     ic = -F.log2(F.col("n_entity") / total)
     joint = F.least("both", "n_term", "n_entity")
     share = F.when(ic > 0, F.log2(joint * total / (F.col("n_entity") * F.col("n_term"))) / ic).otherwise(0.0)
-    rated = candidates.join(entities, "entity").join(n_term, "term").groupBy("term").agg(F.max(share).alias("share"))
+    rated = candidates.join(n_term, "term").groupBy("term").agg(F.max(share).alias("share"))
     kind = F.when(F.col("share") >= remove, "removed").when(F.col("share") >= generalise, "generalised")
     return durable(rated.select("term", kind.alias("kind")).where("kind is not null")), found
 

@@ -76,3 +76,20 @@ def test_sanitised_texts(docs, prose):
     assert out[303] == "[PHONE] é [CARD]" and out[300] is None
     assert "zeppelinfan" not in out[302] and "[EMAIL]" in out[100] and "copiedonly" in out[200]
     assert disclosure.report(docs([])).count() == 0
+
+
+def test_entities_with_two_contexts_short_names_and_numbers(docs, prose):
+    rows = [(i, f"The report. {prose(i, 40, 300)}") for i in range(60)]
+    for i in range(2):
+        rows.append((100 + i, f"{prose(200 + i, 20, 10**9)} quokkaclub dora@mail.example.com The {prose(300 + i, 20, 10**9)}"))
+    for i in range(4):  # between other words, so that all contexts differ
+        own = [prose(400 + 10 * i + k, 1, 10**9) for k in range(6)]
+        rows.append((110 + i, f"{own[0]} Bo {own[1]} O'Neil-Smith {own[2]} A-4471/7 {own[3]} or {own[4]} at +1 (456) 555-2186 The {own[5]}"))
+    rows.append((120, "bo and o'neil-smith: (a-4471/7) quokkaclub or the rest"))
+    texts = dict(rows)
+    found = set()
+    for r in disclosure.report(docs(rows)).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        found |= {(r.doc_id, texts[r.doc_id][int(a) : int(b)].lower()) for k, a, b in spans if k in ("generalised", "removed")}
+    names = {"bo", "o'neil-smith", "a-4471/7"}
+    assert found == {(100, "quokkaclub"), (101, "quokkaclub"), (120, "quokkaclub")} | {(d, x) for d in (110, 111, 112, 113, 120) for x in names}
