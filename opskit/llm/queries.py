@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opskit.llm import chat, decontaminate, disclosure, langid, line_dedup, minhash, outliers, packing, suffix_dedup, toxicity
+from opskit.llm import chat, decontaminate, disclosure, filter_audit, langid, line_dedup, minhash, outliers, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +115,38 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.links(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_potential_audit",
+    r"""
+    WITH t AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    d AS (
+      SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END)
+        || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END)
+        || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+        || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS failed
+      FROM t LEFT JOIN l USING (doc_id)),
+    c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY ALL),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+    o AS (SELECT a.f || b.f || x.f || y.f || z.f AS filter_order FROM f a, f b, f x, f y, f z
+      WHERE len(list_distinct([a.f, b.f, x.f, y.f, z.f])) = 5),
+    s AS (SELECT filter_order, step::INTEGER AS step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier
+      FROM o, range(1, 6) r(step)),
+    r AS (
+      SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (translate(failed, earlier || f, '') = failed), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (contains(failed, f) AND translate(failed, earlier, '') = failed), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (contains(failed, f) AND translate(failed, earlier, '') <> failed), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (failed = f), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (contains(failed, f) AND translate(failed, earlier, '') = failed), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (contains(failed, f) AND translate(failed, earlier, '') = failed), 0)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY ALL)
+    SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
