@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opskit.llm import chat, decontaminate, disclosure, filter_audit, langid, line_dedup, minhash, outliers, packing, suffix_dedup, toxicity
+from opskit.llm import chat, decontaminate, disclosure, filter_audit, langid, line_dedup, merkle, minhash, outliers, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -150,3 +150,62 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _merkle_sql(levels: int) -> str:
+    """Levels one by one, first inside sources, then over them; a tree of one node stays as it is."""
+
+    def tree(name: str, start: str, value: str) -> tuple[str, str]:
+        ctes, last = [], start
+        for k in range(levels):
+            run = "PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN"
+            ctes.append(f"""{name}{k} AS (SELECT tree, pos, h, count(*) OVER (PARTITION BY tree) AS n,
+                coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {last})""")
+            last = (f"(SELECT tree, pos // 16 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(h) "
+                    f"ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {name}{k} GROUP BY tree, pos // 16)")
+        ctes.append(f"{name}root AS (SELECT tree, h FROM {last})")
+        joins = " ".join(f"JOIN {name}{k} ON {name}{k}.tree IS NOT DISTINCT FROM {value}.tree AND {name}{k}.pos = {value}.pos // {16**k}" for k in range(levels))
+        return ", ".join(ctes), joins
+
+    sub, sub_joins = tree("a", "leaves", "leaves")
+    top, top_joins = tree("b", "places", "places")
+    fold, proof = "CASE WHEN tampered THEN changed ELSE h END", []
+    steps = []
+    for name in [f"a{k}" for k in range(levels)] + [f"b{k}" for k in range(levels)]:
+        proof.append(f"{name}l || {name}r")
+        steps.append(name)
+    picked = lambda names: ", ".join(f"{x}.n AS {x}n, {x}.l AS {x}l, {x}.r AS {x}r" for x in names)
+    a, b = steps[:levels], steps[levels:]
+    chain, last = [], "whole"
+    for i, x in enumerate(steps):
+        chain.append(f"f{i} AS (SELECT * REPLACE (CASE WHEN {x}n = 1 THEN v ELSE sha256({x}l || v || {x}r) END AS v) FROM {last})")
+        last = f"f{i}"
+    return f"""
+    WITH crc AS (
+      SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+        coalesce(xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(doc_id::VARCHAR, '.'), lambda x: ascii(x)::BIGINT),
+          lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 5 = 0, false) AS tampered
+      FROM documents),
+    e AS (
+      SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM crc),
+    d AS (
+      SELECT doc_id, source AS tree, tampered, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+        sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS changed FROM e),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM d),
+    {sub},
+    places AS (SELECT 0 AS tree, tree AS source, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos FROM aroot),
+    {top},
+    above AS (SELECT places.source, places.h AS subroot, (SELECT h FROM broot) AS root, {picked(b)} FROM places {top_joins}),
+    whole AS (
+      SELECT leaves.doc_id, leaves.h AS leaf, {fold.replace("h END", "leaves.h END")} AS v, {picked(a)}, above.*
+      FROM leaves {sub_joins} JOIN above ON above.source IS NOT DISTINCT FROM leaves.tree),
+    {", ".join(chain)}
+    SELECT doc_id, leaf, subroot, root, sha256({" || ".join(proof)}) AS proof_sha256, v AS folded_root, v = root AS verified FROM {last}
+    """
+
+
+@query("op12_persistent_merkle", _merkle_sql(5))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
