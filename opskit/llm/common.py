@@ -134,9 +134,12 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
-def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, words before each document): byte ranges of the words of all documents."""
-    solid = ~_SPACE[data]
+def word_ranges(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, words before each document): byte ranges of the words of all documents.
+
+    ``gap`` tells of every byte value whether it separates words.
+    """
+    solid = ~gap[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begin, stop = solid.copy(), solid.copy()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opskit.llm import chat, decontaminate, disclosure, filter_audit, langid, line_dedup, merkle, minhash, outliers, packing, suffix_dedup, toxicity
+from opskit.llm import chat, decontaminate, disclosure, filter_audit, langid, licences, line_dedup, merkle, minhash, outliers, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -209,3 +209,8 @@ def _merkle_sql(levels: int) -> str:
 @query("op12_persistent_merkle", _merkle_sql(5))
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query("op13_rare_token_licences")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(table(spark, sf_dir, "documents"))
