@@ -120,11 +120,12 @@ def _(db):
 SELECT 'k' || (props->>'$.k') AS name, {stamp('ts')} AS time FROM events""")
 def _(db):
     from opskit.sources.writers import write_xml_events
-    path = scratch_path(db.spark, "xml-in")
+    path, root = scratch_path(db.spark, "xml-in"), scratch_path(db.spark, "xml-out")
     write_xml_events(db.events.select(
         F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("_name"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_timestamp"), "event_id"), path)
     stream = ing.xml_stream(db.spark, path, "event", "_name string, _timestamp string, event_id bigint")
-    return out_of(db, stream, "xml-out").select(F.col("_name").alias("name"), F.to_timestamp_ntz("_timestamp").alias("time"))
+    ing.drain(stream, f"{root}/checkpoint", f"{root}/out")
+    return db.spark.read.parquet(f"{root}/out").select(F.col("_name").alias("name"), F.to_timestamp_ntz("_timestamp").alias("time"))
 
 
 @report("M11_stream_token_latency", f"""

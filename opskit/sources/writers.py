@@ -7,8 +7,8 @@ never leaves the job without its input.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -53,24 +53,87 @@ def overwrite_latest(df: DataFrame, path: str, keys: Sequence[str], order) -> No
     replace_table(first_per_key(df, keys, order), path)
 
 
+def _hadoop(spark: SparkSession, path: str, uri: bool = False):
+    """(file system, path object) of a path, or of a URI as Spark names its files."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if uri else path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def _delete(spark: SparkSession, path: str, uri: bool = False) -> None:
+    fs, at = _hadoop(spark, path, uri)
+    fs.delete(at, True)
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    fs, at = _hadoop(spark, path)
+    fs.create(at, True).close()
+
+
+def _staged(spark: SparkSession, staging: str, files: Sequence[str] | None = None) -> DataFrame:
+    return spark.read.option("basePath", staging).parquet(*(files if files is not None else [staging]))
+
+
+def archive_steps(spark: SparkSession, staging: str, history: str) -> Iterator[str]:
+    """The steps of ``archive_and_clear``, each done when its name comes out.
+
+    A move is a folder below ``history/_moves`` with a manifest of the files it takes. It has
+    three states: without the mark ``listed`` it never began, with it the files are (again)
+    copied as one batch, and from the mark ``copied`` on only the listed files are deleted.
+    """
+    moves = f"{history}/_moves"
+    fs, at = _hadoop(spark, moves)
+    open_moves = sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+    for name in [*open_moves, uuid.uuid4().hex]:
+        move, manifest = f"{moves}/{name}", f"{moves}/{name}/files"
+        if not _exists(spark, f"{move}/listed"):
+            if name in open_moves:
+                _delete(spark, move)
+                yield "dropped"
+                continue
+            if _existing(spark, staging) is None:
+                return
+            full = _staged(spark, staging).select(F.col("_metadata.file_path").alias("value")).distinct()  # names of files that have rows
+            full.write.mode("overwrite").text(manifest)
+            yield "manifest"
+            if spark.read.text(manifest).isEmpty():
+                _delete(spark, move)
+                return
+            _mark(spark, f"{move}/listed")
+            yield "listed"
+        files = sorted(r["value"] for r in spark.read.text(manifest).collect())
+        if not _exists(spark, f"{move}/copied"):
+            _staged(spark, staging, files).write.mode("overwrite").parquet(f"{history}/batch={name}")
+            yield "batch"
+            _mark(spark, f"{move}/copied")
+            yield "copied"
+        place = lambda f: _hadoop(spark, f, uri=True)[1].toUri().getPath()
+        left = _existing(spark, staging)
+        listed = {place(f) for f in files}
+        if left is not None and all(place(f) in listed for f in left.inputFiles()):  # keeps the schema of an empty staging table
+            left.limit(0).write.mode("append").parquet(staging)
+            yield "schema"
+        for file in files:
+            _delete(spark, file, uri=True)
+            yield "cleared"
+        _delete(spark, move)
+        yield "closed"
+
+
 def archive_and_clear(spark: SparkSession, staging: str, history: str) -> None:
     """Move every staging row to history (column ``batch`` tells the move), then empty staging.
 
-    The move takes the files that staging holds now and writes them to a history folder named
-    after them: a run that died between the steps writes the same folder again, rows with equal
-    keys are all kept, and files that arrive meanwhile stay in staging.
+    The move can die after any step: the next call first ends open moves by their manifests, so
+    every row is archived once. Rows with equal keys are all kept, and files that arrive
+    meanwhile stay in staging. One caller at a time.
     """
-    files = sorted(spark.read.parquet(staging).inputFiles())
-    if not files:
-        return
-    rows = spark.read.parquet(*files)
-    name = hashlib.md5("\n".join(files).encode()).hexdigest()
-    rows.write.mode("overwrite").parquet(f"{history}/batch={name}")
-    rows.limit(0).write.mode("append").parquet(staging)  # keeps the schema of an empty staging table
-    sc = spark.sparkContext
-    for file in files:
-        path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(file))
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, False)
+    for _ in archive_steps(spark, staging, history):
+        pass
 
 
 def merge_full(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -1,6 +1,5 @@
 """Sinks, sources and streams: round trips, repeats and late rows."""
 
-import shutil
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -23,22 +22,51 @@ def test_append_new_is_idempotent(spark, tmp_path, rows):
     assert len(rows(spark.read.parquet(path))) == 3
 
 
-def test_archive_keeps_every_row_and_can_be_repeated(spark, tmp_path, rows):
-    staging, history = str(tmp_path / "s"), str(tmp_path / "h")
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b")], "k int, v string")
-    df.write.parquet(staging)
-    shutil.copytree(staging, tmp_path / "before")
+@pytest.fixture
+def staged(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c"), (None, None)], "k int, v string")
+    df.repartition(3).write.parquet(str(tmp_path / "s"))
+    return df, str(tmp_path / "s"), str(tmp_path / "h")
+
+
+def test_archive_keeps_every_row(spark, staged, rows):
+    df, staging, history = staged
     wr.archive_and_clear(spark, staging, history)
-    shutil.copytree(tmp_path / "before", staging, dirs_exist_ok=True)  # as after a crash before the clearing
-    for file in Path(staging).glob("part-*"):
-        if not (tmp_path / "before" / file.name).exists():
-            file.unlink()
+    wr.archive_and_clear(spark, staging, history)  # nothing is staged: no batch is written
+    assert rows(spark.read.parquet(history).select("k", "v")) == rows(df)
+    assert spark.read.parquet(staging).count() == 0 and len(list(Path(history).glob("batch=*"))) == 1
+    df.coalesce(1).write.mode("append").parquet(staging)
     wr.archive_and_clear(spark, staging, history)
-    assert rows(spark.read.parquet(history).select("k", "v")) == [(1, "a"), (1, "b"), (1, "b")]
-    assert spark.read.parquet(staging).count() == 0
-    df.write.mode("append").parquet(staging)
+    assert spark.read.parquet(history).count() == 10 and spark.read.parquet(staging).count() == 0
+    assert len(list(Path(staging).glob("part-*"))) == 1 and not list(Path(history, "_moves").iterdir())
+
+
+@pytest.mark.parametrize("arrives", [False, True])
+def test_archive_dies_after_every_step(spark, staged, rows, tmp_path, arrives):
+    """Killed after step 1, 2, 3, ... and run again: every row is archived once."""
+    df, staging, history = staged
+    names = list(wr.archive_steps(spark, staging, history))
+    assert [n for i, n in enumerate(names) if n not in names[:i]] == ["manifest", "listed", "batch", "copied", "schema", "cleared", "closed"]
+    for dies in range(1, len(names) + 1):
+        staging, history = str(tmp_path / f"s{dies}"), str(tmp_path / f"h{dies}")
+        df.repartition(3).write.parquet(staging)
+        steps = wr.archive_steps(spark, staging, history)
+        for _ in range(dies):
+            next(steps)
+        steps.close()
+        if arrives:
+            spark.createDataFrame([(9, "late")], "k int, v string").coalesce(1).write.mode("append").parquet(staging)
+        wr.archive_and_clear(spark, staging, history)
+        want = rows(df) + ([(9, "late")] if arrives else [])
+        assert rows(spark.read.parquet(history).select("k", "v")) == sorted(want, key=repr), names[dies - 1]
+        assert spark.read.parquet(staging).count() == 0
+
+
+def test_archive_of_a_partitioned_table(spark, tmp_path, rows):
+    staging, history = str(tmp_path / "s"), str(tmp_path / "h")
+    spark.createDataFrame([(1, "a b/c"), (2, "d")], "k int, day string").write.partitionBy("day").parquet(staging)
     wr.archive_and_clear(spark, staging, history)
-    assert spark.read.parquet(history).count() == 6 and spark.read.parquet(staging).count() == 0
+    assert rows(spark.read.parquet(history).select("k", "day")) == [(1, "a b/c"), (2, "d")]
 
 
 def test_replace_table_with_its_own_content(spark, tmp_path, rows):
