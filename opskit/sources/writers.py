@@ -108,7 +108,7 @@ def archive_steps(spark: SparkSession, staging: str, history: str) -> Iterator[s
             yield "listed"
         files = sorted(r["value"] for r in spark.read.text(manifest).collect())
         if not _exists(spark, f"{move}/copied"):
-            _staged(spark, staging, files).write.mode("overwrite").parquet(f"{history}/batch={name}")
+            _staged(spark, staging, [_hadoop(spark, f, uri=True)[1].toString() for f in files]).write.mode("overwrite").parquet(f"{history}/batch={name}")
             yield "batch"
             _mark(spark, f"{move}/copied")
             yield "copied"
