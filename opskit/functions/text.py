@@ -56,6 +56,16 @@ def pad_id(c, n: int = 10) -> Column:
     return F.when(F.length(digits) > n, digits).otherwise(F.lpad(digits, n, "0"))
 
 
+def sort_id(c, n: int = 10) -> Column:
+    """One step of a path that sorts like the ids, whatever their length.
+
+    Ids have ``n`` digits with leading zeros; a longer one gets one ``:`` (behind the digits in
+    order) per further digit in front, so that its length is known and it sorts behind shorter ones.
+    """
+    digits = _c(c).cast("string")
+    return F.concat(F.repeat(F.lit(":"), F.greatest(F.length(digits) - n, F.lit(0))), pad_id(digits, n))
+
+
 def norm(c) -> Column:
     """Comparison form: case-insensitive, trailing blanks ignored."""
     return F.lower(F.rtrim(_c(c)))

@@ -135,42 +135,56 @@ def shred(df: DataFrame, col: str, row: str | None, schema: str, keep: Sequence[
 # -- hierarchies ------------------------------------------------------------------------
 
 
-def hierarchy(
-    edges: DataFrame, keys: Sequence[str], node: str, parent: str, max_depth: int = 100
-) -> DataFrame:
-    """Depth and sortable path of every node below its head, level by level.
-
-    ``keys`` scope a tree (a snapshot).  Heads have no parent (or are their own) and have
-    at least one child.  Nodes that are never reached from a head sit on or under a cycle
-    and are returned with ``cycle = true``, which also ends runaway chains.
+def _one_parent(edges: DataFrame, keys: Sequence[str], node: str, parent: str) -> DataFrame:
+    """One row (keys, node, parent) per node: the smallest real parent, else its own or none."""
+    e = edges.select(*keys, F.col(node).alias("node"), F.col(parent).alias("parent")).filter("node is not null")
+    real = F.min(F.when(F.col("parent") != F.col("node"), F.col("parent")))
+    return e.groupBy(*keys, "node").agg(F.coalesce(real, F.min("parent")).alias("parent"))
+
+
+def _jump(pointers: DataFrame, targets: DataFrame, keys: Sequence[str], *cols: Column) -> DataFrame:
+    """Pointers (keys, node, anc, ...) joined with what is known of the node they point to, as ``_t``."""
+    known = [c for c in targets.columns if c not in (*keys, "node")]
+    t = targets.select(*keys, F.col("node").alias("anc"), F.struct(*known).alias("_t"))
+    return null_safe_join(pointers, t, [*keys, "anc"]).select(*keys, "node", *cols)
+
+
+def hierarchy(edges: DataFrame, keys: Sequence[str], node: str, parent: str) -> DataFrame:
+    """Depth and sortable path of every node below its head, for trees of any depth.
+
+    ``keys`` scope a tree (a snapshot). Heads have no parent (or are their own) and have at
+    least one child. Every node has one row; of several parents the smallest counts. Each node
+    holds a pointer to an ancestor, the distance and the path from there; a round joins it with
+    the pointer of that ancestor, which doubles the distance, until it stands at a head: the
+    rounds are the logarithm of the depth. A round in which no pointer arrives leaves only nodes
+    on or under a cycle (``cycle``); their depth, path and head are null, as are those of nodes
+    whose chain ends at a parent without a row.
     """
-    e = edges.select(*keys, F.col(node).alias("node"), F.col(parent).alias("parent"))
+    e = durable(_one_parent(edges, keys, node, parent))
     linked = e.filter("parent is not null and parent <> node")
     has_child = linked.select(*keys, F.col("parent").alias("node")).distinct()
-    level = (
-        null_safe_join(e.filter("parent is null or parent = node"), has_child, [*keys, "node"], "left_semi")
-        .select(*keys, "node", "parent", F.lit(0).alias("depth"), text.pad_id("node").alias("path"), F.col("node").alias("head"))
-    )
-    level = durable(level)
-    done = level
-    for depth in range(1, max_depth + 1):
-        up = level.select(*keys, F.col("node").alias("parent"), F.col("path").alias("_path"), "head")
-        level = null_safe_join(linked, up, [*keys, "parent"]).select(
-            *keys, "node", "parent", F.lit(depth).alias("depth"),
-            F.concat("_path", text.pad_id("node")).alias("path"), "head",
-        )
-        level = durable(level)
-        if level.isEmpty():
+    heads = null_safe_join(e.filter("parent is null or parent = node"), has_child, [*keys, "node"], "left_semi")
+    step = lambda df, anc, dist: df.select(
+        *keys, "node", F.col(anc).alias("anc"), F.lit(dist).alias("dist"), text.sort_id("node").alias("path"), F.lit(dist == 0).alias("there"))
+    done, climbing = durable(step(heads, "node", 0)), durable(step(linked, "parent", 1))
+    left = climbing.count()
+    while left:
+        moved = durable(_jump(
+            climbing, done.unionByName(climbing), keys, F.col("_t.anc").alias("anc"), (F.col("dist") + F.col("_t.dist")).alias("dist"),
+            F.concat("_t.path", "path").alias("path"), F.col("_t.there").alias("there")))
+        done, climbing, before = done.unionByName(moved.filter("there")), moved.filter("not there"), left
+        left = climbing.count()
+        if left == before:
             break
-        done = done.unionByName(level)
-    else:
-        raise ValueError(f"tree deeper than {max_depth}; pass a larger max_depth")
-    reached = done.withColumn("cycle", F.lit(False))
-    lost = null_safe_join(linked, done.select(*keys, "node"), [*keys, "node"], "left_anti").select(
-        *keys, "node", "parent", F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("path"),
-        F.lit(None).cast(e.schema["node"].dataType).alias("head"), F.lit(True).alias("cycle"),
-    )
-    return reached.unionByName(lost)
+    depth, path, head = F.col("dist").alias("depth"), "path", F.col("anc").alias("head")
+    reached = null_safe_join(done.select(*keys, "node", depth, path, head), e, [*keys, "node"]).select(
+        *keys, "node", "parent", "depth", "path", "head", F.lit(False).alias("cycle"))
+    lost = null_safe_join(linked, done.select(*keys, "node"), [*keys, "node"], "left_anti")
+    lost = null_safe_join(lost, climbing.select(*keys, "node", F.lit(True).alias("cycle")), [*keys, "node"], "left")
+    types = {f.name: f.dataType for f in reached.schema}
+    none = lambda c: F.lit(None).cast(types[c]).alias(c)
+    return reached.unionByName(lost.select(
+        *keys, "node", "parent", none("depth"), none("path"), none("head"), F.coalesce("cycle", F.lit(False)).alias("cycle")))
 
 
 def tree_label(depth: str | Column, node: str | Column, body: Column) -> Column:
@@ -181,43 +195,96 @@ def tree_label(depth: str | Column, node: str | Column, body: Column) -> Column:
     return F.concat(F.lit("    "), F.repeat(F.lit("|         "), depth.cast("int")), mark, node.cast("string"), F.lit(" "), body)
 
 
-def ancestors(edges: DataFrame, keys: Sequence[str], node: str, parent: str, seeds: DataFrame, max_depth: int = 100) -> DataFrame:
-    """All distinct nodes found by walking from the seeds towards their parents."""
-    up = edges.select(*keys, F.col(node).alias("node"), F.col(parent).alias("parent")).filter("parent is not null").distinct()
-    found = durable(seeds.select(*keys, "node").distinct())
-    front = found
-    for _ in range(max_depth):
-        nxt = null_safe_join(front, up, [*keys, "node"]).select(*keys, F.col("parent").alias("node")).distinct()
-        front = durable(null_safe_join(nxt, found, [*keys, "node"], "left_anti"))
-        if front.isEmpty():
+def _compose(pointers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pointers of twice the distance; those that would leave the top are gone."""
+    return durable(_jump(pointers, pointers, keys, F.col("_t.anc").alias("anc")).distinct())
+
+
+def reach(pointers: DataFrame, keys: Sequence[str], seeds: DataFrame) -> DataFrame:
+    """All nodes on the way from the seeds along pointers (keys, node, anc), seeds included.
+
+    After k rounds the nodes up to 2^k - 1 steps away are found, and pointers span 2^k steps:
+    rounds are the logarithm of the longest way, and a round that finds nothing new is the end,
+    on cycles too.
+    """
+    found, pointers = durable(seeds.select(*keys, "node").distinct()), durable(pointers.select(*keys, "node", "anc").distinct())
+    while True:
+        ahead = null_safe_join(pointers, found, [*keys, "node"], "left_semi").select(*keys, F.col("anc").alias("node")).distinct()
+        fresh = durable(null_safe_join(ahead, found, [*keys, "node"], "left_anti"))
+        if fresh.isEmpty():
             return found
-        found = found.unionByName(front)
-    raise ValueError(f"chain longer than {max_depth}; pass a larger max_depth")
+        found, pointers = found.unionByName(fresh), _compose(pointers, keys)
+
+
+def ancestors(edges: DataFrame, keys: Sequence[str], node: str, parent: str, seeds: DataFrame) -> DataFrame:
+    """All distinct nodes found by walking from the seeds towards their parents, at any height."""
+    up = edges.select(*keys, F.col(node).alias("node"), F.col(parent).alias("anc")).filter("node is not null and anc is not null")
+    return reach(up, keys, seeds)
 
 
-def below_counts(edges: DataFrame, keys: Sequence[str], node: str, parent: str, max_depth: int = 100) -> DataFrame:
-    """Number of nodes under every node, at all levels; a path check stops cycles.
+def _sizes(links: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(nodes with ``size``, pointers left): nodes under each node of a forest, itself included.
 
-    Each round keeps one row per node: the ancestor it has climbed to so far.
+    ``size`` counts the nodes less than 2^k levels below; those from there on are counted at the
+    nodes 2^k levels below, whose pointers end here. Pointers that are left stand on or under a
+    cycle, and the sizes of their targets mean nothing.
     """
-    e = edges.select(*keys, F.col(node).alias("node"), F.col(parent).alias("parent")).filter(
-        "parent is not null and parent <> node"
-    )
-    e = durable(e)
-    front = e.select(*keys, "node", F.col("parent").alias("anc"), F.array("node", "parent").alias("trail"))
-    total = None
-    for _ in range(max_depth):
-        step = front.groupBy(*keys, "anc").agg(F.count("*").alias("n"))
-        total = step if total is None else total.unionByName(step)
-        nxt = null_safe_join(
-            front, e.select(*keys, F.col("node").alias("anc"), F.col("parent").alias("_up")), [*keys, "anc"]
-        ).filter(~F.expr("array_contains(trail, _up)"))
-        front = durable(
-            nxt.select(*keys, "node", F.col("_up").alias("anc"), F.concat("trail", F.array("_up")).alias("trail"))
-        )
-        if front.isEmpty():
-            return total.groupBy(*keys, F.col("anc").alias("node")).agg(F.sum("n").alias("below"))
-    raise ValueError(f"chain longer than {max_depth}; pass a larger max_depth")
+    ends = links.select(*keys, "node").unionByName(links.select(*keys, F.col("anc").alias("node")))
+    size, pointers = durable(ends.distinct().withColumn("size", F.lit(1).cast("bigint"))), links
+    left = pointers.count()
+    while left:
+        under = null_safe_join(pointers, size, [*keys, "node"]).groupBy(*keys, F.col("anc").alias("node")).agg(F.sum("size").alias("more"))
+        size = durable(null_safe_join(size, under, [*keys, "node"], "left").select(
+            *keys, "node", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
+        pointers, before = _compose(pointers, keys), left
+        left = pointers.count()
+        if left == before:
+            break
+    return size, pointers
+
+
+def _on_cycles(links: DataFrame, pointers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, node, loop): the nodes on cycles with the smallest node of their cycle.
+
+    ``pointers`` all stand on or under cycles; the tails under a cycle are gone from their targets
+    once those no longer get fewer.
+    """
+    ends = lambda p: durable(p.select(*keys, F.col("anc").alias("node")).distinct())
+    on, n = ends(pointers), -1
+    while (found := on.count()) != n:
+        n, pointers = found, _compose(pointers, keys)
+        on = ends(pointers)
+    ring = durable(null_safe_join(links, on, [*keys, "node"], "left_semi"))
+    loop = on.withColumn("loop", F.col("node"))
+    while True:
+        moved = durable(_jump(ring, loop, keys, F.col("anc"), F.col("_t.loop").alias("ahead")))
+        least = null_safe_join(loop, moved.select(*keys, "node", "ahead"), [*keys, "node"]).select(
+            *keys, "node", F.least("loop", "ahead").alias("loop"), (F.col("ahead") < F.col("loop")).alias("less"))
+        least = durable(least)
+        loop = least.drop("less")
+        if least.filter("less").isEmpty():
+            return loop
+        ring = _compose(ring, keys)
+
+
+def below_counts(edges: DataFrame, keys: Sequence[str], node: str, parent: str) -> DataFrame:
+    """Number of nodes under every node, at all levels (nodes without any are left out).
+
+    One row per node and round, and as many rounds as the logarithm of the depth. Every node has
+    one parent (the smallest of several). All nodes of a cycle have the same nodes under them,
+    the others of the cycle included: cycles are cut, sized as trees and added up.
+    """
+    e = _one_parent(edges, keys, node, parent).filter("parent is not null and parent <> node")
+    links = durable(e.select(*keys, "node", F.col("parent").alias("anc")))
+    size, stuck = _sizes(links, keys)
+    if not stuck.isEmpty():
+        loops = _on_cycles(links, stuck, keys)
+        size, _ = _sizes(durable(null_safe_join(links, loops, [*keys, "node"], "left_anti")), keys)
+        ring = null_safe_join(loops, size, [*keys, "node"], "left").withColumn("size", F.coalesce("size", F.lit(1)))
+        whole = ring.groupBy(*keys, "loop").agg(F.sum("size").alias("size"))
+        ring = null_safe_join(loops, whole, [*keys, "loop"]).select(*keys, "node", "size")
+        size = null_safe_join(size, loops, [*keys, "node"], "left_anti").unionByName(ring)
+    return size.filter("size > 1").select(*keys, "node", (F.col("size") - 1).alias("below"))
 
 
 def descend(edges: DataFrame, node: str, parent: str, roots: DataFrame, levels: int) -> DataFrame:

@@ -30,9 +30,9 @@ def active_counts(df: DataFrame, ts: str = SNAP) -> DataFrame:
     return df.groupBy(ts).agg(F.count("*").alias("sessions"))
 
 
-def blocking_tree(sessions: DataFrame, body: str = "sql_command", max_depth: int = 100) -> DataFrame:
+def blocking_tree(sessions: DataFrame, body: str = "sql_command") -> DataFrame:
     """One line per session of a blocking tree and snapshot; cycles are kept and marked."""
-    tree = hierarchy(sessions, [SNAP], "session_id", "blocking_session_id", max_depth)
+    tree = hierarchy(sessions, [SNAP], "session_id", "blocking_session_id")
     info = sessions.select(SNAP, F.col("session_id").alias("node"), F.col(body).alias("_body"), "wait_info")
     lines = null_safe_join(tree, info, [SNAP, "node"], "left")
     wait = text.lock_wait("wait_info")
@@ -71,11 +71,11 @@ def consistent_blocking(sessions: DataFrame, minutes: int, now) -> DataFrame:
     return now_rows.join(then, ["session_id", "blocking_session_id"], "left_semi")
 
 
-def job_blockers(sessions: DataFrame, program: str, start, end, max_depth: int = 100) -> DataFrame:
+def job_blockers(sessions: DataFrame, program: str, start, end) -> DataFrame:
     """All sessions above the named program's sessions in the snapshots of a period."""
     window = sessions.filter(F.col(SNAP).between(start, end))
     seeds = window.filter(F.col("program_name") == program).select(SNAP, F.col("session_id").alias("node"))
-    return ancestors(window, [SNAP], "session_id", "blocking_session_id", seeds, max_depth).withColumnRenamed("node", "session_id")
+    return ancestors(window, [SNAP], "session_id", "blocking_session_id", seeds).withColumnRenamed("node", "session_id")
 
 
 def execution_spans(df: DataFrame, keys, ts: str = SNAP) -> DataFrame:
@@ -118,9 +118,9 @@ def program_load(requests: DataFrame, tasks: DataFrame, all_schedulers: int | Co
     )
 
 
-def blocked_count(sessions: DataFrame, max_depth: int = 100) -> DataFrame:
+def blocked_count(sessions: DataFrame) -> DataFrame:
     """Sessions under each session of a snapshot, at all levels."""
-    below = below_counts(sessions, [SNAP], "session_id", "blocking_session_id", max_depth)
+    below = below_counts(sessions, [SNAP], "session_id", "blocking_session_id")
     return below.withColumnRenamed("node", "session_id").withColumnRenamed("below", "blocked_session_count")
 
 

@@ -1,9 +1,10 @@
 """Rules the given tables do not show: resets, clears, cycles, missing successes, text shapes."""
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from opskit.functions import clock, text, units
 from opskit.operators import alerts as al
@@ -101,11 +102,85 @@ def test_blocking_tree_with_cycle_and_two_heads(spark):
     assert below == {1: 2, 2: 1, 1000: 1, 5: 1, 7: 2, 8: 2}
 
 
-def test_deep_chain_needs_a_larger_limit(spark):
-    df = spark.createDataFrame([(1, i, i - 1 if i > 1 else None) for i in range(1, 8)], "s int, n bigint, p bigint")
-    with pytest.raises(ValueError):
-        rs.hierarchy(df, ["s"], "n", "p", max_depth=4)
-    assert rs.hierarchy(df, ["s"], "n", "p", max_depth=10).agg(F.max("depth")).first()[0] == 6
+def forest(spark, pairs, key=1):
+    return spark.createDataFrame([(key, n, p) for n, p in pairs], "s int, n bigint, p bigint")
+
+
+def walk(pairs):
+    """(depth, head) of nodes under a head, nodes on or under a cycle, and nodes under every node, one step at a time."""
+    up = {}
+    for n, p in sorted(pairs, key=lambda x: (x[1] is None, x[1] == x[0], x[1] or 0)):
+        up.setdefault(n, p)
+    parents = {p for n, p in up.items() if p is not None and p != n}
+    reached, cyclic, below = {}, set(), {}
+    for n in up:
+        seen, at = [n], n
+        while up.get(at) is not None and up[at] != at and up[at] not in seen:
+            at = up[at]
+            seen.append(at)
+            below.setdefault(at, set()).add(n)
+        if at in up and (up[at] is None or up[at] == at):
+            if at in parents:
+                reached[n] = (len(seen) - 1, at)
+        elif at in up:
+            cyclic.add(n)
+    return reached, cyclic, {k: len(v - {k}) for k, v in below.items() if v - {k}}
+
+
+def test_hierarchies_of_any_shape(spark):
+    import random
+
+    rng = random.Random(5)
+    shapes = [
+        [(i, i - 1 if i > 1 else None) for i in range(1, 200)], [(i, i // 2 or None) for i in range(1, 300)], [(i, 1 if i > 1 else None) for i in range(1, 300)],
+        [(i, i % 7 + 1) for i in range(1, 8)] + [(100 + i, 99 + i if i else 3) for i in range(60)], [(1, 1), (2, 1), (3, 77), (4, 3)], [(5, None)], [(1, 2), (2, 1), (1, 2)],
+        [(i, rng.randrange(1, 150) if rng.random() < 0.97 else None) for i in range(1, 150)], [(i, rng.randrange(1, i) if i > 1 else None) for i in range(1, 200)] * 2,
+    ]
+    df = reduce(DataFrame.unionByName, [forest(spark, x, k) for k, x in enumerate(shapes)]).unionByName(
+        spark.createDataFrame([(None, 1, None), (None, 2, 1)], "s int, n bigint, p bigint"))
+    tree, below, up = {}, {}, {}
+    for r in rs.hierarchy(df, ["s"], "n", "p").collect():
+        assert (r["s"], r["node"]) not in tree
+        tree[r["s"], r["node"]] = r
+    for r in rs.below_counts(df, ["s"], "n", "p").collect():
+        below[r["s"], r["node"]] = r["below"]
+    seeds = df.filter("n % 10 = 3").select("s", F.col("n").alias("node"))
+    for r in rs.ancestors(df, ["s"], "n", "p", seeds).collect():
+        up.setdefault(r["s"], set()).add(r["node"])
+    for k, pairs in [*enumerate(shapes), (None, [(1, None), (2, 1)])]:
+        reached, cyclic, under = walk(pairs)
+        assert {n: (r["depth"], r["head"]) for (s, n), r in tree.items() if s == k and r["head"] is not None} == reached
+        assert {n for (s, n), r in tree.items() if s == k and r["cycle"]} == cyclic
+        assert {n: v for (s, n), v in below.items() if s == k} == under
+        for (s, n), r in tree.items():
+            if s == k and r["depth"]:
+                assert r["path"].startswith(tree[s, r["parent"]]["path"]) and len(r["path"]) == 10 * (r["depth"] + 1)
+        want, todo = set(), [n for n, _ in pairs if n % 10 == 3]
+        while todo:
+            n = todo.pop()
+            if n not in want:
+                want.add(n)
+                todo += [p for m, p in pairs if m == n and p is not None]
+        assert up.get(k, set()) == want
+
+
+def test_chain_of_five_thousand_nodes(spark, monkeypatch):
+    chain = forest(spark, [(i, i - 1 if i > 1 else None) for i in range(1, 5001)] + [(9001, 9002), (9002, 9001)])
+    rounds = []
+    monkeypatch.setattr(rs, "durable", lambda df, f=rs.durable: rounds.append(1) or f(df))
+    top = rs.hierarchy(chain, ["s"], "n", "p").agg(F.max("depth"), F.sum(F.col("cycle").cast("int")), F.max(F.length("path"))).first()
+    assert tuple(top) == (4999, 2, 50_000) and len(rounds) < 20
+    rounds.clear()
+    got = {r["node"]: r["below"] for r in rs.below_counts(chain, ["s"], "n", "p").collect()}
+    assert got == {**{i: 5000 - i for i in range(1, 5000)}, 9001: 1, 9002: 1} and len(rounds) < 100
+    assert rs.ancestors(chain, ["s"], "n", "p", chain.filter("n = 4321").select("s", F.col("n").alias("node"))).count() == 4321
+
+
+def test_paths_of_long_ids_sort_like_the_ids(spark):
+    ids = [7, 10**9, 9_999_999_990, 10**10, 123456789012, 999999999999, 10**18]
+    path = {r["node"]: r["path"] for r in rs.hierarchy(forest(spark, [(1, None)] + [(i, 1) for i in ids] + [(i + 1, i) for i in ids]), ["s"], "n", "p").collect()}
+    order = sorted(path, key=lambda n: path[n])
+    assert order == [1] + [x for i in ids for x in (i, i + 1)]
 
 
 def test_consecutive_failures(spark):
