@@ -91,9 +91,9 @@ def _(db):
 @report("M07_stream_suppress", f"""
 WITH RECURSIVE m AS (SELECT event_type, floor(epoch(ts) / 60)::BIGINT AS m, min(ts) AS t FROM events GROUP BY 1, 2), s AS (
  SELECT event_type, min(m) AS m FROM m GROUP BY 1 UNION ALL SELECT event_type, nxt FROM (SELECT s.event_type, (SELECT min(m.m) FROM m WHERE m.event_type = s.event_type AND m.m >= s.m + 720) AS nxt FROM s) WHERE nxt IS NOT NULL)
-SELECT event_type, {stamp('t')} AS ts FROM s JOIN m USING (event_type, m)""")
+SELECT event_type, {stamp('t')} AS ts, false AS late FROM s JOIN m USING (event_type, m)""")
 def _(db):
-    return stateful(db, st.suppress_step("event_type", "ts", 720), "suppress").select("event_type", "ts")
+    return stateful(db, st.suppress_step("event_type", "ts", 720), "suppress").select("event_type", "ts", "late")
 
 
 @report("M08_stream_heartbeat", f"""

@@ -13,7 +13,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opskit.operators.alerts import status_changes
+from opskit.operators.joins import asof_join
 from opskit.operators.ordered import null_safe_join, series_lag, top_per_key
+from opskit.operators.reshape import reach
+from opskit.session import durable
 from opskit.streaming.ingest import drain_batches
 
 
@@ -119,26 +122,38 @@ def flapping_step(key: str, ts: str, status: str, n: int = 12, low: float = 0.35
 def suppress_step(key: str, ts: str, minutes: int) -> Step:
     """Alerts to send: the first one, then one only when the last notice is ``minutes`` old.
 
-    Ages count minute boundaries, so alerts of one minute are equal and are merged first.
-    The remaining minutes of a key are folded in order.
+    Ages count minute boundaries, so alerts of one minute are equal and are merged first, to its
+    first alert. Every minute points to the first one that is old enough after it (an as-of
+    self join over time slices); the notices are the minutes reached from the first one that is
+    due, found by doubling these pointers, so a hot key is split and its minutes are never
+    brought together. The state is the minute of the last notice. Alerts older than it come
+    out with ``late`` and change nothing.
     """
 
     def step(batch: DataFrame, state: DataFrame | None):
         minute = F.floor(F.unix_timestamp(F.col(ts)) / 60).cast("bigint")
-        per = batch.groupBy(key, minute.alias("_m")).agg(F.min(ts).alias("_t"))
-        days = per.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_m", "_t"))).alias("_ms"))
-        j = days.withColumn("last_notice", F.lit(None).cast("bigint"))
-        if state is not None:
-            j = days.join(state.select(key, "last_notice"), key, "full")
-        start = F.struct(F.col("last_notice").alias("last"), F.array().cast("array<timestamp>").alias("sent"))
-
-        def fold(acc, x):
-            due = acc["last"].isNull() | (x["_m"] - acc["last"] >= minutes)
-            return F.when(due, F.struct(x["_m"].alias("last"), F.concat(acc["sent"], F.array(x["_t"])).alias("sent"))).otherwise(acc)
-
-        none = F.array().cast("array<struct<_m: bigint, _t: timestamp>>")
-        done = j.withColumn("_r", F.aggregate(F.coalesce("_ms", none), start, fold))
-        out = done.select(key, F.explode("_r.sent").alias(ts))
-        return out, done.select(key, F.col("_r.last").alias("last_notice"))
+        rows = batch.select(key, ts, minute.alias("_m"))
+        known = None if state is None else state.select(key, "last_notice")
+        if known is None:
+            rows = rows.withColumn("last_notice", F.lit(None).cast("bigint"))
+        else:
+            rows = null_safe_join(rows, known, [key], "left")
+        late = F.coalesce(F.col("_m") < F.col("last_notice"), F.lit(False))
+        behind = rows.filter(late).select(key, ts, F.lit(True).alias("late"))
+        due = rows.filter(F.col("last_notice").isNull() | (F.col("_m") >= F.col("last_notice") + minutes))
+        per = durable(due.groupBy(key, "_m").agg(F.min(ts).alias(ts)))
+        # "time" is the order that the series operators cut into slices
+        at = lambda m: F.timestamp_seconds(m * 60)
+        ends = per.select(key, "_m", at(F.col("_m") + minutes).alias("_from"))
+        then = per.select(key, F.col("_m").alias("anc"), at(F.col("_m")).alias("_at"))
+        after = asof_join(ends, then, [key], "_from", "_at", ["anc"], "forward")
+        pointers = after.filter("anc is not null").select(key, F.col("_m").alias("node"), "anc")
+        sent = reach(pointers, [key], per.groupBy(key).agg(F.min("_m").alias("node")))
+        notices = null_safe_join(per, sent.withColumnRenamed("node", "_m"), [key, "_m"], "left_semi")
+        out = notices.select(key, ts, F.lit(False).alias("late")).unionByName(behind)
+        newest = sent.groupBy(key).agg(F.max("node").alias("last_notice"))
+        if known is not None:
+            newest = newest.unionByName(known).groupBy(key).agg(F.max("last_notice").alias("last_notice"))
+        return out, newest
 
     return step

@@ -133,13 +133,38 @@ def test_delta_continues_over_batches_and_flags_late_rows(spark, tmp_path):
     assert got == {1: (0, False), 2: (4, False), 3: (3, False), 4: (0, False), 5: (None, True), 6: (3, False)}
 
 
-def test_suppression_over_batches(spark, tmp_path):
-    minutes = [[0, 4, 9, 10], [11, 19], [20, 21, 35]]
-    batches = [[("a", T0 + timedelta(minutes=m, seconds=m % 3), 0, m) for m in b] for b in minutes]
-    stream = feed(spark, str(tmp_path / "in"), batches, SCHEMA)
+def suppressed(batches, gap):
+    """Notices and late alerts, one alert after the other."""
+    last, sent, late = {}, [], []
+    for batch in batches:
+        before, first = dict(last), {}
+        for k, m, s in sorted(batch, key=lambda x: x[1:]):
+            if k in before and m < before[k]:
+                late.append((k, m, s, True))
+                continue
+            first.setdefault((k, m), s)
+        for k, m in sorted(first, key=lambda x: x[1]):
+            if k not in last or m - last[k] >= gap:
+                last[k] = m
+                sent.append((k, m, first[k, m], False))
+    return sorted(sent + late, key=repr)
+
+
+def test_suppression_over_batches_flags_late_alerts(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    batches = [[("a", 0, 0), ("a", 4, 1), ("a", 9, 0), ("a", 10, 1), ("a", 10, 0)], [("a", 11, 2), ("a", 19, 1), ("a", 3, 0), (None, 5, 0)], [("a", 20, 1), ("a", 21, 0), ("a", 35, 2), (None, 1, 7)]]
+    for i in range(3):
+        batches[i] += [(rng.choice(["hot", "hot", "hot", "b", "c"]), rng.randrange(100 * i, 100 * i + 130), rng.randrange(60)) for _ in range(150)]
+    rows_ = [[(k, T0 + timedelta(minutes=m, seconds=s), 0, i) for i, (k, m, s) in enumerate(b)] for b in batches]
+    stream = feed(spark, str(tmp_path / "in"), rows_, SCHEMA)
     st.run_stateful(stream, st.suppress_step("k", "ts", 10), str(tmp_path / "cp"), str(tmp_path / "state"), str(tmp_path / "out"))
-    sent = sorted(r["ts"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert [int((t - T0).total_seconds() // 60) for t in sent] == [0, 10, 20, 35]
+    got = []
+    for r in spark.read.parquet(str(tmp_path / "out")).collect():
+        at = int((r["ts"] - T0).total_seconds())
+        got.append((r["k"], at // 60, at % 60, r["late"]))
+    assert sorted(got, key=repr) == suppressed(batches, 10) and any(x[3] for x in got)
 
 
 def test_stream_restart_continues(spark, tmp_path):
