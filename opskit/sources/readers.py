@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opskit.functions import clock
 from opskit.operators.aggregates import union_sources
 from opskit.operators.joins import broadcast_if_small
-from opskit.operators.ordered import global_row_number, global_running_sum
+from opskit.operators.ordered import global_row_number
 from opskit.session import durable
+from opskit.sources.records import records
 from opskit.sources.schemas import TRACE
 
 CPU_RING = """_id bigint,
@@ -52,23 +53,16 @@ def read_log(spark: SparkSession, path_glob: str, contains: Sequence[str] = (),
     """Entries of current and archived text logs holding all search texts, in a time window.
 
     A line that does not begin with a time belongs to the entry before it (in the order of
-    files and places); lines before the first entry are left out.
+    files and places); lines before the first entry are left out. Entries are cut and filtered in
+    the tasks that read the files; only lines at the edges of file splits are brought together.
     """
-    head = F.col("value").rlike(LOG_LINE)
-    lines = spark.read.text(path_glob).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    placed = lines.withColumn("pos", F.monotonically_increasing_id()).withColumn("head", head.cast("bigint"))
-    numbered = global_running_sum(durable(placed), "head", ["file", "block", "pos"], "entry").filter("entry > 0")
-    # an entry is one message: its lines fit in a row
-    entries = numbered.groupBy("entry").agg(F.sort_array(F.collect_list(F.struct("file", "block", "pos", "value"))).alias("lines"))
-    first = F.get("lines", F.lit(0))["value"]
-    part = lambda i: F.regexp_extract(first, LOG_LINE, i)
-    more = F.transform(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), lambda x: x["value"])
-    d = entries.select(
-        F.to_timestamp_ntz(part(1)).alias("log_date"), part(2).alias("process"),
-        F.array_join(F.concat(F.array(part(3)), more), "\n").alias("text"), F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("_entry"))
+    entry = records(spark, path_glob, head=LOG_LINE)
     for needle in contains:
-        d = d.filter(F.col("_entry").contains(needle))
-    d = d.drop("_entry")
+        entry = entry.filter(F.col("text").contains(needle))
+    first = F.substring_index("text", "\n", 1)
+    part = lambda i: F.regexp_extract(first, LOG_LINE, i)
+    rest = F.substr("text", F.char_length(first) + 1)  # further lines with their breaks
+    d = entry.select(F.to_timestamp_ntz(part(1)).alias("log_date"), part(2).alias("process"), F.concat(part(3), rest).alias("text"))
     if start is not None:
         d = d.filter(F.col("log_date") >= start)
     if end is not None:
@@ -139,8 +133,14 @@ def numbers(spark: SparkSession, n: int) -> DataFrame:
 
 
 def read_trace(spark: SparkSession, path: str) -> DataFrame:
-    """A recorded statement trace with its fixed schema; quoted statements may have line breaks."""
-    return spark.read.csv(path, schema=TRACE, header=True, multiLine=True, escape='"')
+    """A recorded statement trace with its fixed schema; quoted statements may have line breaks.
+
+    Every file has a header. A file is read by many tasks: its records are cut where the number
+    of quotes before a line is even.
+    """
+    row = F.from_csv("text", TRACE, {"escape": '"'}).alias("row")
+    rows = records(spark, path, quote='"').filter(~F.col("first"))
+    return rows.select(F.rtrim("text", F.lit("\r")).alias("text")).filter("trim(text) <> ''").select(row).select("row.*")
 
 
 def parse_cpu_ring(df: DataFrame, record: str, stamp_ms: str, now_ms: str, now) -> DataFrame:

@@ -115,6 +115,57 @@ def test_xml_events_are_numbered(spark, tmp_path):
     assert sorted(r["event_no"] for r in got) == list(range(1, 51)) and {r["_id"] for r in got} == set(range(50))
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Files are read by splits of 100 bytes, so that records lie across several of them."""
+    names = {"spark.sql.files.maxPartitionBytes": "100b", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("max_open", [100_000, 0])
+def test_trace_is_read_by_many_tasks_like_by_one(spark, tmp_path, rows, small_splits, monkeypatch, max_open):
+    import random
+    from functools import partial
+
+    from opskit.sources import records as rc
+
+    rng = random.Random(2)
+    words = ['say ""x""', "a\nb", "\n", ",", "select 1", " ", "é", '""', "\n\n-- " + "long " * 60]
+    for f in range(2):
+        out = ["statement,executions,cpu,reads,writes,duration,event_class"]
+        for i in range(120):
+            text = "".join(rng.choice(words) for _ in range(rng.randrange(5)))
+            out.append(f'"{text}",{i},{i},{f},,5,41' if i % 3 else f"plain {i},{i},{i},{f},,5,41")
+        (tmp_path / f"t{f}.csv").write_text("\n".join(out) + ("\n" if f else ""))
+    (tmp_path / "empty.csv").write_text("")
+    monkeypatch.setattr(rd, "records", partial(rc.records, max_open=max_open))
+    got = rd.read_trace(spark, str(tmp_path))
+    assert spark.read.text(str(tmp_path / "t0.csv")).rdd.getNumPartitions() > 50
+    want = spark.read.csv(str(tmp_path), schema=got.schema, header=True, multiLine=True, escape='"')
+    assert rows(got) == rows(want) and got.count() == 240
+
+
+def test_log_entries_across_splits(spark, tmp_path, rows, small_splits):
+    lines, want = ["lost line"], []
+    for i in range(200):
+        more = [f"  detail {i} {k} " + "x" * (i % 7 * 40) for k in range(i % 4)] + ([""] if i % 5 == 0 else [])
+        text = f"Error {i % 10}"
+        lines += [f"2024-01-01 00:{i // 60:02}:{i % 60:02}.5  spid{i}   {text}", *more]
+        want.append((T0 + timedelta(seconds=i, microseconds=500_000), f"spid{i}", "\n".join([text, *more])))
+    (tmp_path / "a.log").write_text("\n".join(lines[:300]) + "\n")
+    (tmp_path / "b.log").write_text("\n".join(lines[300:]) + "\n")
+    assert rows(rd.read_log(spark, str(tmp_path))) == sorted(want, key=repr)
+    late = rd.read_log(spark, str(tmp_path), ["Error 3", "detail"], F.lit(T0 + timedelta(seconds=50)).cast("timestamp_ntz"))
+    assert rows(late) == sorted([w for i, w in enumerate(want) if i >= 50 and "Error 3" in w[2] and "detail" in w[2]], key=repr)
+    plan = late._jdf.queryExecution().simpleString()
+    assert "rangepartitioning" not in plan
+
+
 def feed(spark, path, batches, schema):
     for rows_ in batches:
         spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(path)
