@@ -71,7 +71,7 @@ def asof_join(
     """Nearest right row at or before (``backward``) or at or after (``forward``) each left row.
 
     Both sides are unioned into one series per key and the payload is carried along it, so
-    no pair is built; large inputs are cut into time slices, so a hot key is split.  Equal right times are
+    no pair is built; series are cut into slices, so a hot key or instant is split.  Equal right times are
     resolved by ``tie`` (largest for backward, smallest for forward).
     """
     if not by:
@@ -82,7 +82,7 @@ def asof_join(
     tie_col = F.col(tie) if tie else F.lit(0)
     l_cols = [c for c in left.columns if c not in by]
     lhs = left.select(
-        *by, F.col(left_ts).alias("_ts"), F.lit(l_side).alias("_side"), F.lit(0).cast("bigint").alias("_tie"),
+        *by, F.col(left_ts).alias("_ts"), F.lit(l_side).alias("_side"), F.monotonically_increasing_id().alias("_tie"),
         F.struct(*l_cols).alias("_row"),
     )
     rhs = right.select(

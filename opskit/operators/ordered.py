@@ -4,10 +4,10 @@ Two techniques are used instead of one large window:
 
 * a *global* order is computed on a range-partitioned copy: every task numbers its own
   range, and the per-range totals (one row per partition) give the offsets;
-* a *series* order (lag, fill-forward, running sum inside a key) is cut into time
-  slices of equal row count once the input is large.  Each slice starts with one seed row
-  that carries the state of the earlier slices, so a key with a third of all rows is
-  spread over a third of all slices.
+* a *series* order (lag, fill-forward, running sum inside a key) is cut into slices of
+  about equally many rows by (key, time, tie).  Each slice starts with one seed row that
+  carries the state of the key's earlier slices, so a key with a third of all rows is
+  spread over a third of all slices, also if these rows have one time.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from opskit.functions.clock import epoch_us
 from opskit.session import durable
 
 _LOW33 = (1 << 33) - 1
@@ -186,50 +185,19 @@ def with_group(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
 
 # -- series order -----------------------------------------------------------------------
 
-# A series operator works on whole series while the input is small.  Above this many rows
-# it cuts time into slices that hold equally many rows of the whole input, so that no
-# (key, slice) group exceeds one slice, however the rows are spread over keys and time.
-ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 8_192
-
-
-def slice_bounds(df: DataFrame, ts: str) -> list[int]:
-    """Inner slice edges in microseconds (at most ``MAX_SLICES - 1`` numbers); none for small input."""
-    wanted, n = -(-df.count() // ROWS_PER_SLICE), 1
-    while n < min(wanted, MAX_SLICES):
-        n *= 2
-    if n == 1:
-        return []
-    edges = F.percentile_approx(epoch_us(ts), [i / n for i in range(1, n)], max(10_000, 4 * n))
-    found = df.agg(edges.alias("e")).first()["e"] or []
-    return sorted(set(found))
-
-
-def with_slice(df: DataFrame, ts: str, bounds: Sequence[int]) -> DataFrame:
-    """Add ``_slice``, the number of edges at or before the time (a binary search)."""
-    size = 1
-    while size - 1 < len(bounds):
-        size *= 2
-    numbers = [*bounds, *[2**63 - 1] * (size - 1 - len(bounds))]
-    edges = F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")  # one constant
-    out, step = df.withColumn("_us", epoch_us(ts)).withColumn("_slice", F.lit(0)), size // 2
-    while step:
-        here = F.get(edges, F.col("_slice") + (step - 1))
-        out = out.withColumn("_slice", F.col("_slice") + F.when(F.col("_us") >= here, step).otherwise(0))
-        step //= 2
-    return out.drop("_us")
-
-
-def _series(df: DataFrame, keys: Sequence[str], ts: str, carry) -> tuple[DataFrame, list[str], list[str]]:
-    """Rows ready for a window inside their series: (rows, partition columns, leading order).
-
-    With slices, every slice gets one seed row (``_seed`` 0) whose ``_pay`` is the state
-    ``carry`` computes from the other slices of the key.
+# A series is ordered by time and tie inside its key. The rows are range partitioned on (key,
+# time, tie), always and at every size: a range is a slice, a hot key or a single hot instant
+# lies in as many slices as its rows need, and small keys share one. Every slice of a key but
+# its first starts with one seed row that carries the state of the slices before.
+
+
+def _series(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows ready for a window inside their slice: (rows, partition columns, leading order).
+
+    Every slice gets one seed row (``_seed`` 0) whose ``_pay`` is the state that ``carry``
+    computes from the other slices of the key.
     """
-    bounds = slice_bounds(df, ts)
-    if not bounds:
-        return df.withColumn("_seed", F.lit(1)), list(keys), []
-    d = with_slice(df, ts, bounds)
+    d = placed(df, [*keys, *order]).drop("_pos").withColumnRenamed("_part", "_slice")
     seeds = carry(d).select(*keys, "_slice", F.col("_carry").alias("_pay"), F.lit(0).alias("_seed")).filter("_pay is not null")
     return d.withColumn("_seed", F.lit(1)).unionByName(seeds, allowMissingColumns=True), [*keys, "_slice"], ["_seed"]
 
@@ -237,7 +205,7 @@ def _series(df: DataFrame, keys: Sequence[str], ts: str, carry) -> tuple[DataFra
 def series_lag(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], prefix: str = "prev_", lead: bool = False
 ) -> DataFrame:
-    """LAG (or LEAD) of several columns inside a series; ``order[0]`` is the time column."""
+    """LAG (or LEAD) of several columns inside a series; ``order`` is the time and a tie-break."""
     sort = (lambda c: F.col(c).desc()) if lead else (lambda c: F.col(c).asc())
     pick = F.min_by if lead else F.max_by
 
@@ -245,7 +213,7 @@ def series_lag(
         edge = d.groupBy(*keys, "_slice").agg(pick("_pay", F.struct(*order)).alias("_edge"))
         return edge.withColumn("_carry", F.lag("_edge").over(W.partitionBy(*keys).orderBy(sort("_slice"))))
 
-    rows, part, head = _series(df.withColumn("_pay", F.struct(*cols)), keys, order[0], carry)
+    rows, part, head = _series(df.withColumn("_pay", F.struct(*cols)), keys, order, carry)
     w = W.partitionBy(*part).orderBy(*head, *[sort(c) for c in order])
     out = rows.withColumn("_prev", F.lag("_pay").over(w)).filter("_seed = 1")
     for c in cols:
@@ -262,7 +230,7 @@ def series_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return total.withColumn("_carry", F.sum("_total").over(before))
 
     pay = F.col(value) if isinstance(value, str) else value
-    rows, part, head = _series(df.withColumn("_pay", pay), keys, order[0], carry)
+    rows, part, head = _series(df.withColumn("_pay", pay), keys, order, carry)
     w = W.partitionBy(*part).orderBy(*head, *order).rowsBetween(W.unboundedPreceding, 0)
     return rows.withColumn(out, F.sum("_pay").over(w)).filter("_seed = 1").drop("_seed", "_slice", "_pay")
 
@@ -280,6 +248,6 @@ def series_fill(
         before = W.partitionBy(*keys).orderBy(sort("_slice")).rowsBetween(W.unboundedPreceding, -1)
         return edge.withColumn("_carry", F.last("_edge", ignorenulls=True).over(before))
 
-    rows, part, head = _series(df.withColumn("_pay", F.col(payload)), keys, order[0], carry)
+    rows, part, head = _series(df.withColumn("_pay", F.col(payload)), keys, order, carry)
     w = W.partitionBy(*part).orderBy(*head, *[sort(c) for c in order]).rowsBetween(W.unboundedPreceding, 0)
     return rows.withColumn(out, F.last("_pay", ignorenulls=True).over(w)).filter("_seed = 1").drop("_seed", "_slice", "_pay")

@@ -12,9 +12,15 @@ from opskit.operators import ordered as od
 T0 = datetime(2024, 1, 1)
 
 
-@pytest.fixture(params=[4_000_000, 40], ids=["whole series", "many slices"])
-def slices(request, monkeypatch):
-    monkeypatch.setattr(od, "ROWS_PER_SLICE", request.param)
+@pytest.fixture(params=[1, 30], ids=["one slice", "many slices"])
+def slices(request, spark):
+    names = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
 def series(n=900, seed=1):
@@ -93,14 +99,26 @@ def test_asof(spark, slices, direction):
     assert dict(map(tuple, got)) == want
 
 
-def test_slices_hold_equal_shares(spark, monkeypatch):
-    monkeypatch.setattr(od, "ROWS_PER_SLICE", 100)
-    # a third of all rows lies within one second of one key
-    data = [("hot", T0 + timedelta(microseconds=i), i, 0) for i in range(1000)] + [("x", T0 + timedelta(hours=i), i, 0) for i in range(2000)]
+@pytest.mark.parametrize("slices", [30], indirect=True)
+def test_slices_hold_equal_shares(spark, slices, monkeypatch):
+    # a third of all rows lies at one instant of one key
+    data = [("hot", T0, i, 0) for i in range(1000)] + [("x", T0 + timedelta(hours=i), i, 0) for i in range(2000)]
+    sizes, placed = [], od.placed
+
+    def seen(df, order):
+        out = placed(df, order)
+        sizes.extend(r["count"] for r in out.groupBy("k", "_part").count().collect())
+        return out
+
+    monkeypatch.setattr(od, "placed", seen)
     df = frame(spark, data)
-    bounds = od.slice_bounds(df, "ts")
-    biggest = od.with_slice(df, "ts", bounds).groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
-    assert len(bounds) >= 15 and biggest <= 200
+    assert od.series_lag(df, ["k"], ["ts", "id"], ["id"]).filter("prev_id = id - 1").count() == 2998
+    assert len(sizes) >= 30 and max(sizes) <= 200
+    sizes.clear()
+    rates = spark.createDataFrame([("hot", T0, 1), ("x", T0, 2)], "k string, at timestamp_ntz, rate int")
+    got = jn.asof_join(df, rates, ["k"], "ts", "at", ["rate"])
+    assert got.filter("rate is null").count() == 0 and got.count() == 3000
+    assert len(sizes) >= 30 and max(sizes) <= 200
 
 
 def test_global_orders(spark):

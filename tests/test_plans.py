@@ -41,8 +41,7 @@ def test_global_window_sees_one_row_per_partition(db):
     assert single and all("HashAggregate(keys=[_part" in b for b in single)
 
 
-def test_series_windows_are_partitioned_by_slice(db, monkeypatch):
-    monkeypatch.setattr(od, "ROWS_PER_SLICE", 100)
+def test_series_windows_are_partitioned_by_slice(db):
     p = plan(od.series_lag(db.events, ["user_id"], ["ts", "event_id"], ["value"]))
     assert re.search(r"Window \[lag\(_pay#\d+, -1, null\).*_slice", p)
 
