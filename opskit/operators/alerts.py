@@ -38,10 +38,15 @@ def status_changes(log: DataFrame, key: str, ts: str, status: str, tie: Sequence
     return d.withColumn("status_change", (~F.col(status).eqNullSafe(F.col(f"prev_{status}"))).cast("int"))
 
 
-def flapping(log: DataFrame, key: str, ts: str, now, n: int = 12, hours: int = 6, low: float = 0.35, high: float = 0.65) -> DataFrame:
-    """Checks whose share of status changes in the last ``n`` results (within ``hours``) is near half."""
+def flapping(
+    log: DataFrame, key: str, ts: str, now, n: int = 12, hours: int = 6, low: float = 0.35, high: float = 0.65, tie: Sequence[str] = ()
+) -> DataFrame:
+    """Checks whose share of status changes in the last ``n`` results (within ``hours``) is near half.
+
+    Results of one time go by ``tie``, and else by whether they are changes.
+    """
     recent = log.filter((F.col(ts) > now - F.make_dt_interval(hours=F.lit(hours))) & (F.col(ts) <= now))
-    last = top_per_key(recent, [key], [F.col(ts).desc()], n)
+    last = top_per_key(recent, [key], [F.col(ts).desc(), *[F.col(c).desc() for c in [*tie, "status_change"]]], n)
     ratio = last.groupBy(key).agg(F.count("*").alias("checks"), F.avg("status_change").alias("change_ratio"))
     return ratio.withColumn("is_flapping", F.col("change_ratio").between(low, high))
 

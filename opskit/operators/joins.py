@@ -157,9 +157,12 @@ def contains_join(
 ) -> DataFrame:
     """(text, term) pairs where the whole text contains the term.
 
-    A proven short list of terms is tested in place.  A longer list is joined on one token:
-    a token strictly inside a term is a whole token of every text that holds the term.
-    Terms without such a token are found through the q-grams of their leading characters.
+    A proven short list of terms is tested in place.  Of a longer list every term is filed
+    under one piece of it that every text holding the term must hold as well: a token strictly
+    inside the term (a whole token of the text), else one of its q-grams, else the short term
+    itself.  Of all such pieces the one in the fewest texts is taken, so terms with one
+    beginning, or with common words, do not meet on one key; a term with a piece in no text at
+    all is found nowhere.
     """
     t = terms.select(F.col(term_id).alias("_tid"), F.col(term_col).alias("_term")).filter("length(_term) > 0")
     base = texts.select(F.col(text_id), F.col(text_col).alias("_text"))
@@ -168,31 +171,30 @@ def contains_join(
         hit = F.filter(F.col("_terms"), lambda x: F.contains(F.col("_text"), x["_term"]))
         found = base.withColumn("_terms", listed).select(text_id, F.explode(hit).alias("_h"))
         return found.select(text_id, F.col("_h._tid").alias(term_id))
-    tokens = lambda c: F.split(c, r"[^\p{L}\p{N}]+")
-    inner = F.slice(tokens(F.col("_term")), F.lit(2), F.greatest(F.size(tokens(F.col("_term"))) - 2, F.lit(0)))
-    seed = F.array_max(F.transform(F.filter(inner, lambda x: x != ""), lambda x: F.struct(F.length(x), x.alias("w"))))["w"]
     q = 6
-    seeded = durable(t.withColumn("_seed", seed).withColumn(
-        "_kind", F.when(F.col("_seed").isNotNull(), "token").when(F.length("_term") >= q, "gram").otherwise("cut")))
-
-    def cut(width) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - width + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.col("_text").substr(i, F.lit(width) if isinstance(width, int) else width))
-
-    widths = F.array(*[F.lit(i) for i in range(1, q)])
-    ways = {
-        "token": (tokens(F.col("_text")), F.col("_seed")),
-        "gram": (cut(q), F.substring("_term", 1, q)),
-        "cut": (F.flatten(F.transform(widths, cut)), F.col("_term")),
-    }
+    tokens = lambda c: F.split(F.col(c), r"[^\p{L}\p{N}]+")
+    inner = F.filter(F.slice(tokens("_term"), F.lit(2), F.greatest(F.size(tokens("_term")) - 2, F.lit(0))), lambda x: x != "")
+
+    def cut(col, width) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(col) - width + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.col(col).substr(i, F.lit(width) if isinstance(width, int) else width))
+
+    of_text = {"token": tokens("_text"), "gram": cut("_text", q), "cut": F.flatten(F.transform(F.array(*[F.lit(i) for i in range(1, q)]), lambda w: cut("_text", w)))}
+    of_term = {"token": inner, "gram": cut("_term", q), "cut": F.array("_term")}
+    kind = F.when(F.size(inner) > 0, "token").when(F.length("_term") >= q, "gram").otherwise("cut")
+    seeded = durable(t.withColumn("_kind", kind))
     candidates = None
-    for kind, (pieces, key) in ways.items():
-        some = seeded.filter(F.col("_kind") == kind)
+    for way, pieces in of_text.items():
+        some = seeded.filter(F.col("_kind") == way)
         if some.isEmpty():
             continue
+        filed = some.select("_tid", "_term", F.explode(F.array_distinct(of_term[way])).alias("_piece"))
         # only the id travels with the pieces; the text joins again for the few candidates
-        part = base.select(text_id, F.explode(F.array_distinct(pieces)).alias("_seed")).join(
-            some.select("_tid", "_term", key.alias("_seed")), "_seed").select(text_id, "_tid", "_term").distinct()
+        held = durable(base.select(text_id, F.explode(F.array_distinct(pieces)).alias("_piece")).join(filed.select("_piece").distinct(), "_piece", "left_semi"))
+        held_by = held.groupBy("_piece").agg(F.count("*").alias("_n"))
+        rare = filed.join(held_by, "_piece", "left").groupBy("_tid", "_term").agg(
+            F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_piece")).alias("_r")).filter("_r._n > 0")
+        part = held.join(rare.select("_tid", "_term", "_r._piece"), "_piece").select(text_id, "_tid", "_term").distinct()
         candidates = part if candidates is None else candidates.unionByName(part)
     hits = base.join(candidates, text_id).filter(F.contains("_text", F.col("_term")))
     return hits.select(text_id, F.col("_tid").alias(term_id))

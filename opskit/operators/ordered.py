@@ -146,7 +146,7 @@ def ntile_in(df: DataFrame, n: int, by: Sequence[str], order, out: str = "tile",
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join on keys where NULL equals NULL; the right keys are dropped."""
     if not keys:
-        return left.join(right, how=how)
+        raise ValueError("a join without keys would pair all rows")
     marked = right
     cond = None
     for i, k in enumerate(keys):

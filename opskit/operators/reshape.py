@@ -7,22 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opskit.functions import text
-from opskit.operators.ordered import null_safe_join
+from opskit.operators.ordered import null_safe_join, running_sum_in
 from opskit.session import durable
 
-PIVOT_LIMIT = 1_000
+#: Columns that one pivot makes.
+PIVOT_BLOCK = 1_000
 
 
 def pivot_metrics(df: DataFrame, index: Sequence[str], key: str, names: Sequence[str], agg: Column) -> DataFrame:
     return df.groupBy(*index).pivot(key, list(names)).agg(agg)
 
 
-def pivot_dynamic(df: DataFrame, index: Sequence[str], label: str, agg: Column, limit: int = PIVOT_LIMIT) -> DataFrame:
-    """Columns discovered from the data; more labels than ``limit`` is an error, never a cut."""
-    names = [r[0] for r in df.select(label).distinct().orderBy(label).limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} distinct values of {label}")
-    return pivot_metrics(df, index, label, names, agg)
+def pivot_dynamic(df: DataFrame, index: Sequence[str], label: str, agg: Column, block: int = PIVOT_BLOCK) -> DataFrame:
+    """Columns discovered from the data, in label order; the labels are the schema of the result.
+
+    Up to ``block`` columns are made by one pivot. More are made in blocks of that many, each
+    written once and joined to the index, so that no aggregation buffer grows with the labels.
+    """
+    names = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
+    if len(names) <= block:
+        return pivot_metrics(df, index, label, names, agg)
+    rows = durable(df)
+    out = durable(rows.select(*index).distinct())
+    for i in range(0, len(names), block):
+        some = names[i : i + block]
+        inside = F.col(label).isin([n for n in some if n is not None])
+        part = rows.filter(F.coalesce(inside, F.lit(None in some)) if None in some else inside)
+        out = null_safe_join(out, durable(pivot_metrics(part, index, label, some, agg)), list(index), "left")
+    return out
 
 
 def bucket_counts(df: DataFrame, key: str, bucket: str, buckets: Sequence[str]) -> DataFrame:
@@ -84,6 +96,13 @@ def xml_escape(c: Column) -> Column:
     return F.replace(c, F.lit(">"), F.lit("&gt;"))
 
 
+def attribute_escape(c: Column) -> Column:
+    """Text of a double-quoted attribute on one line."""
+    for raw, name in (('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;")):
+        c = F.replace(xml_escape(c) if raw == '"' else c, F.lit(raw), F.lit(name))
+    return c
+
+
 def row_xml(cols: Sequence[str], tag: str = "row") -> Column:
     """One element per row; NULL columns are left out."""
     parts = [
@@ -111,17 +130,18 @@ def html_table(df: DataFrame, cols: Sequence[str], order: Sequence[Column], k: i
     )
 
 
-def nest(df: DataFrame, parent: Sequence[str], child: Sequence[str], max_children: int = 10_000) -> DataFrame:
-    """Children of each parent as an array of structs, in parts of bounded size.
+def document_lines(df: DataFrame, parent: Sequence[str], child: Sequence[str], tag: str, item_tag: str) -> DataFrame:
+    """Nested documents as lines (keys of the parent, kind, sort, line): opening, items, closing.
 
-    Parents up to ``max_children`` give one row (part 0); larger ones are spread by a hash
-    over as many parts as they need, so that no task gathers a whole hot parent.
+    A document is one element per parent with its keys as attributes, and one element per child
+    row inside it, by ``child``. It has this shape at any size, and no row holds more than a line.
     """
-    sizes = df.groupBy(*parent).agg(F.ceil(F.count("*") / max_children).cast("bigint").alias("_parts"))
-    parts = null_safe_join(df, sizes, list(parent), "left").withColumn(
-        "part", F.pmod(F.xxhash64(*child), F.greatest(F.col("_parts"), F.lit(1)))
-    )
-    return parts.groupBy(*parent, "part").agg(F.sort_array(F.collect_list(F.struct(*child))).alias("children"))
+    named = lambda cols: [F.coalesce(F.concat(F.lit(f' {c}="'), attribute_escape(F.col(c).cast("string")), F.lit('"')), F.lit("")) for c in cols]
+    none = F.lit(None).cast(df.select(F.struct(*child)).schema[0].dataType)
+    heads = df.select(*parent).distinct()
+    edge = lambda kind, text_: heads.select(*parent, F.lit(kind).alias("kind"), none.alias("sort"), text_.alias("line"))
+    items = df.select(*parent, F.lit(1).alias("kind"), F.struct(*child).alias("sort"), F.concat(F.lit(f"  <{item_tag}"), *named(child), F.lit("/>")).alias("line"))
+    return edge(0, F.concat(F.lit(f"<{tag}"), *named(parent), F.lit(">"))).unionByName(items).unionByName(edge(2, F.lit(f"</{tag}>")))
 
 
 def shred(df: DataFrame, col: str, row: str | None, schema: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -309,6 +329,14 @@ def folder_rollup(files: DataFrame, path: str, size: str, sep: str) -> DataFrame
 
 
 def signature(df: DataFrame, keys: Sequence[str], item: str, order: str) -> DataFrame:
-    """Ordered item list of each key as one text (definitions are short lists)."""
-    items = F.sort_array(F.collect_list(F.struct(order, item)))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(items, lambda x: x[item].cast("string")), ",").alias("signature"))
+    """Digest of the ordered item list of each key: equal lists have equal digests.
+
+    Items are numbered in order inside their key (over balanced ranges), and the digest adds up
+    two 60-bit hashes of number and item, so it is combined map-side and no list is built. The
+    length of the list stands in front; a null item differs from an empty text.
+    """
+    rows = df.select(*keys, F.col(order).alias("_o"), F.col(item).cast("string").alias("_i"), F.lit(1).cast("bigint").alias("_one"))
+    numbered = running_sum_in(rows, list(keys), "_one", ["_o", "_i"], "_n")
+    digest = F.md5(F.concat(F.col("_n").cast("string"), F.coalesce(F.concat(F.lit(":"), "_i"), F.lit(""))).cast("binary"))
+    half = lambda i: F.sum(F.conv(F.substring(digest, i, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    return numbered.groupBy(*keys).agg(F.concat_ws("-", F.count("*").cast("string"), half(1), half(17)).alias("signature"))

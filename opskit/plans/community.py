@@ -287,20 +287,16 @@ def popular_ratio(t, badge: str, min_badges: int = 10, k: int = 100) -> DataFram
     return top_k(d, [F.col("ratio").desc()], k, ["id"])
 
 
-def duplicate_accounts(t, min_reputation: int = 1000, per_part: int = 1000) -> DataFrame:
-    """Accounts sharing an e-mail hash, listed by falling reputation.
-
-    Lists longer than ``per_part`` continue in further rows, so no cell grows with its group.
-    """
+def duplicate_accounts(t, min_reputation: int = 1000) -> DataFrame:
+    """Accounts sharing an e-mail hash, one line per account by falling reputation."""
     active = F.count_if(F.col("reputation") > 10)
     sizes = t.users.filter("email_hash is not null").groupBy("email_hash").agg(
         F.count("*").alias("accounts"), F.sum("reputation").alias("_rep"), active.alias("_active"))
     hit = sizes.filter((F.col("accounts") > 1) & (F.col("_rep") > min_reputation) & (F.col("_active") > 1)).select("email_hash", "accounts")
     order = [F.col("reputation").desc(), F.col("id").asc()]
-    ranked = row_number_in(t.users.join(hit, "email_hash"), ["email_hash"], order, "_rn")
+    ranked = row_number_in(t.users.join(hit, "email_hash"), ["email_hash"], order, "position")
     label = F.concat(F.col("id").cast("string"), F.lit(" ("), F.col("display_name"), F.lit(" "), F.col("reputation").cast("string"), F.lit(")"))
-    part = F.floor((F.col("_rn") - 1) / per_part).cast("bigint").alias("part")
-    return ranked.groupBy("email_hash", "accounts", part).agg(string_agg(label, ", ", F.col("_rn")).alias("ids_and_names"))
+    return ranked.select("email_hash", "accounts", "position", label.alias("id_and_name"))
 
 
 def self_accept_rate(t, min_accepted: int = 10, k: int = 100) -> DataFrame:

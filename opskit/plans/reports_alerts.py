@@ -40,11 +40,11 @@ def _(db):
 
 @report("I36_flapping", f"""
 WITH l AS (SELECT *, CASE WHEN check_status IS DISTINCT FROM lag(check_status) OVER (PARTITION BY event_type ORDER BY ts, event_id) THEN 1 ELSE 0 END AS ch FROM {STATUS}),
- r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS rn FROM l WHERE ts > TIMESTAMP '2024-01-15 06:00:00' AND ts <= TIMESTAMP '2024-01-15 12:00:00')
+ r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM l WHERE ts > TIMESTAMP '2024-01-15 06:00:00' AND ts <= TIMESTAMP '2024-01-15 12:00:00')
 SELECT event_type, count(*) AS checks, sum(ch) / count(*) AS change_ratio, sum(ch) / count(*) BETWEEN 0.35 AND 0.65 AS is_flapping FROM r WHERE rn <= 12 GROUP BY 1""")
 def _(db):
     log = al.status_changes(check_log(db), "event_type", "ts", "check_status", ["event_id"])
-    return al.flapping(log, "event_type", "ts", b.lit_ts("2024-01-15 12:00:00"))
+    return al.flapping(log, "event_type", "ts", b.lit_ts("2024-01-15 12:00:00"), tie=["event_id"])
 
 
 @report("I37_due_checks", """

@@ -204,7 +204,8 @@ def _(t):
     return cm.popular_ratio(t, "view")
 
 
-@j("J30_duplicate_accounts", """SELECT email_hash, count(*) AS accounts, 0 AS part, string_agg(id || ' (' || display_name || ' ' || reputation || ')', ', ' ORDER BY reputation DESC, id) AS ids_and_names FROM users WHERE email_hash IS NOT NULL GROUP BY 1 HAVING count(*) > 1 AND sum(reputation) > 1000 AND count(*) FILTER (reputation > 10) > 1""")
+@j("J30_duplicate_accounts", """SELECT email_hash, count(*) OVER w AS accounts, row_number() OVER (PARTITION BY email_hash ORDER BY reputation DESC, id) AS position, id || ' (' || display_name || ' ' || reputation || ')' AS id_and_name FROM users WHERE email_hash IS NOT NULL
+WINDOW w AS (PARTITION BY email_hash) QUALIFY count(*) OVER w > 1 AND sum(reputation) OVER w > 1000 AND count(*) FILTER (reputation > 10) OVER w > 1""")
 def _(t):
     return cm.duplicate_accounts(t)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from opskit.operators import filters as fl
 from opskit.operators import quality as ql
 from opskit.plans import bindings as b
+from opskit.plans.reports_reshape import SIGNATURE
 from opskit.plans.registry import report
 
 E = F.expr
@@ -64,8 +65,8 @@ def _(db):
     return ql.type_mismatches(db.part.select(F.col("p_name").alias("column_name"), F.col("p_type").alias("data_type")))
 
 
-@report("Q09_duplicate_definitions", """
-WITH d AS (SELECT l_suppkey AS obj, l_partkey AS ix, l_linenumber AS pos, max(l_returnflag) AS item FROM lineitem GROUP BY 1, 2, 3), s AS (SELECT obj, ix, string_agg(item, ',' ORDER BY pos) AS signature FROM d GROUP BY 1, 2),
+@report("Q09_duplicate_definitions", f"""
+WITH d AS (SELECT l_suppkey AS obj, l_partkey AS ix, max(l_returnflag) AS i, row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_linenumber) AS n FROM lineitem GROUP BY 1, 2, l_linenumber), s AS (SELECT obj, ix, {SIGNATURE} FROM d GROUP BY 1, 2),
  g AS (SELECT *, min(ix) OVER (PARTITION BY obj, signature) AS same_as, count(*) OVER (PARTITION BY obj, signature) AS copies FROM s)
 SELECT * FROM g WHERE ix <> same_as""")
 def _(db):

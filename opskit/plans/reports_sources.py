@@ -74,10 +74,12 @@ def _(db):
 
 
 @report("A08_fan_out", """
-SELECT 'orders' AS source_name, count(*) AS n, 'ok' AS state FROM orders UNION ALL SELECT 'lineitem', count(*), 'ok' FROM lineitem UNION ALL SELECT 'missing_table', NULL, 'failed'""")
+SELECT 'orders' AS source_name, count(*) AS n, 'ok' AS state FROM orders UNION ALL SELECT 'lineitem', count(*), 'ok' FROM lineitem UNION ALL SELECT 'missing_table', NULL, 'failed' UNION ALL SELECT 'broken_file', NULL, 'failed'""")
 def _(db):
-    sources = {t: db.path(t) for t in ("orders", "lineitem", "missing_table")}
-    good, bad = rd.fan_out(db.spark, sources, lambda p: db.spark.read.parquet(p).agg(F.count("*").alias("n")))
+    broken = scratch_path(db.spark, "broken")
+    db.supplier.limit(3).select("s_name").coalesce(1).write.text(broken)  # no Parquet: fails when it is read
+    sources = {t: db.path(t) for t in ("orders", "lineitem", "missing_table")} | {"broken_file": broken}
+    good, bad = rd.fan_out(db.spark, sources, lambda p: db.spark.read.schema("comment string").parquet(p).agg(F.count("*").alias("n")))
     return good.withColumn("state", F.lit("ok")).unionByName(bad.select("source_name", F.lit(None).cast("bigint").alias("n"), F.lit("failed").alias("state")))
 
 
@@ -225,12 +227,14 @@ def _(db):
     return rs.html_rows(db.supplier, ["s_name", "s_nationkey"]).select("s_suppkey", "html")
 
 
-@report("K13_nest", "SELECT o_custkey, count(*) AS children, min(o_orderkey) AS first_child, max(o_orderkey) AS last_child FROM orders GROUP BY 1")
+@report("K13_nest", """
+SELECT o_custkey, '<customer o_custkey="' || o_custkey || '">' || chr(10) || string_agg('  <order o_orderkey="' || o_orderkey || '" o_orderstatus="' || o_orderstatus || '"/>', chr(10) ORDER BY o_orderkey) || chr(10) || '</customer>' AS document
+FROM orders GROUP BY 1""")
 def _(db):
-    d = rs.nest(db.orders, ["o_custkey"], ["o_orderkey", "o_orderstatus"], max_children=10)
-    return d.groupBy("o_custkey").agg(
-        F.sum(F.size("children")).alias("children"), F.min(F.array_min(F.transform("children", lambda c: c["o_orderkey"]))).alias("first_child"),
-        F.max(F.array_max(F.transform("children", lambda c: c["o_orderkey"]))).alias("last_child"))
+    path = scratch_path(db.spark, "documents")
+    wr.write_documents(db.orders, path, ["o_custkey"], ["o_orderkey", "o_orderstatus"], "customer", "order")
+    return rd.read_documents(db.spark, path, "customer").select(
+        F.regexp_extract("text", 'o_custkey="(\\d+)"', 1).cast("bigint").alias("o_custkey"), F.col("text").alias("document"))
 
 
 @report("K14_enlarge", f"""

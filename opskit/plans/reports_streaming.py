@@ -80,10 +80,10 @@ def _(db):
 
 
 @report("M06_stream_flapping", """
-WITH l AS (SELECT *, value > 10 AS st, lag(value > 10) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), r AS (SELECT *, CASE WHEN st IS DISTINCT FROM p THEN 1 ELSE 0 END AS ch, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM l)
+WITH l AS (SELECT *, value > 10 AS st, lag(value > 10) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events), r AS (SELECT *, CASE WHEN st IS DISTINCT FROM p THEN 1 ELSE 0 END AS ch, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM l)
 SELECT user_id, count(*) AS checks, sum(ch) / count(*) AS change_ratio, sum(ch) / count(*) BETWEEN 0.35 AND 0.65 AS is_flapping FROM r WHERE rn <= 12 GROUP BY 1""")
 def _(db):
-    d = stateful(db, st.flapping_step("user_id", "ts", "status"), "flapping", lambda s: s.withColumn("status", F.col("value") > 10))
+    d = stateful(db, st.flapping_step("user_id", "ts", "status", "event_id"), "flapping", lambda s: s.withColumn("status", F.col("value") > 10))
     last = d.agg(F.max("batch")).scalar()
     return d.filter(F.col("batch") == last).select("user_id", "checks", "change_ratio", "is_flapping")
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +14,7 @@ from opskit.functions import clock
 from opskit.operators.aggregates import union_sources
 from opskit.operators.joins import broadcast_if_small
 from opskit.operators.ordered import global_row_number
-from opskit.session import durable
+from opskit.session import checkpoint_root, durable
 from opskit.sources.records import records
 from opskit.sources.schemas import TRACE
 
@@ -96,19 +99,31 @@ def read_remote(spark: SparkSession, url: str, table: str, column: str | None =
     return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper, numPartitions=parts, properties=properties)
 
 
-def fan_out(spark: SparkSession, sources: Mapping[str, object], fn: Callable[[object], DataFrame]) -> tuple[DataFrame | None, DataFrame]:
+def read_documents(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """Documents of ``writers.write_documents``, one ``text`` per document."""
+    return records(spark, path, head=f"^<{tag}[ >]").select("text")
+
+
+def fan_out(spark: SparkSession, sources: Mapping[str, object], fn: Callable[[object], DataFrame], at_once: int = 8) -> tuple[DataFrame | None, DataFrame]:
     """Run one query per source; (stacked results with ``source_name``, failures).
 
-    A source that cannot be planned (missing path, wrong schema) becomes an error row and
-    does not stop the others.
+    Every source is a job of its own, ``at_once`` of them together, whose result is written to
+    the shared folder. A source that fails, when it is planned (missing path, wrong schema) or
+    when it runs (broken file, failing cast), becomes an error row and does not stop the others.
     """
-    good, errors = {}, []
-    for name, source in sources.items():
+
+    def run(source) -> DataFrame | str:
         try:
-            good[name] = fn(source)
-        except PySparkException as e:
-            errors.append((name, str(e).split("\n")[0]))
-    failed = spark.createDataFrame(errors, "source_name string, error string")
+            return durable(fn(source))
+        except (PySparkException, Py4JJavaError) as e:
+            cause = str(e.java_exception) if isinstance(e, Py4JJavaError) else str(e)
+            return cause.split("\n")[0]
+
+    checkpoint_root(spark)  # set once, not by the threads
+    with ThreadPoolExecutor(at_once) as pool:
+        results = dict(zip(sources, pool.map(inheritable_thread_target(spark)(run), sources.values()), strict=True))
+    good = {k: r for k, r in results.items() if not isinstance(r, str)}
+    failed = spark.createDataFrame([(k, r) for k, r in results.items() if isinstance(r, str)], "source_name string, error string")
     return (union_sources(good) if good else None), failed
 
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opskit.functions import clock, text
 from opskit.operators.ordered import first_per_key, null_safe_join
+from opskit.operators.reshape import document_lines
 from opskit.session import durable
 
 
@@ -217,6 +217,17 @@ def write_xml_events(df: DataFrame, path: str, row_tag: str = "event", root_tag:
     df.write.mode("overwrite").format("xml").options(rowTag=row_tag, rootTag=root_tag, attributePrefix="_").save(path)
 
 
+def write_documents(df: DataFrame, path: str, parent: Sequence[str], child: Sequence[str], tag: str, item_tag: str) -> None:
+    """One nested document per parent, with its children in order, as lines of text files.
+
+    Lines are range partitioned and sorted, so a document with very many children is written by
+    several tasks and its lines go on in the next file; files in the order of their names hold the
+    documents one after the other.
+    """
+    order = [*parent, "kind", "sort"]
+    document_lines(df, parent, child, tag, item_tag).repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
+
+
 def enlarge(header: DataFrame, detail: DataFrame, key: str, detail_key: str, date: str, n: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """``n`` copies of every header with shifted dates and new keys, and their details.
 
@@ -241,5 +252,5 @@ def dummy_rows(spark: SparkSession, n: int, width: int, seed: int) -> DataFrame:
 
 
 def reused(df: DataFrame) -> DataFrame:
-    """Keep an intermediate that is read more than once (spills to disk, rebuilt when lost)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """An intermediate that is read more than once: written once to the shared folder."""
+    return durable(df)

@@ -75,7 +75,7 @@ def delta_step(keys: Sequence[str], ts: str, value: str, tie: str, on_reset: str
     def step(batch: DataFrame, state: DataFrame | None):
         cols = [*keys, ts, value, tie]
         good, late = _split_late(batch.select(*cols), state, keys, [ts, tie])
-        rows = good.withColumn("_old", F.lit(False))
+        rows = durable(good).withColumn("_old", F.lit(False))
         if state is not None:
             rows = rows.unionByName(state.select(*cols).withColumn("_old", F.lit(True)))
         lagged = series_lag(rows, list(keys), [ts, tie], [value]).filter(~F.col("_old"))
@@ -93,25 +93,26 @@ def delta_step(keys: Sequence[str], ts: str, value: str, tie: str, on_reset: str
     return step
 
 
-def flapping_step(key: str, ts: str, status: str, n: int = 12, low: float = 0.35, high: float = 0.65) -> Step:
+def flapping_step(key: str, ts: str, status: str, tie: str, n: int = 12, low: float = 0.35, high: float = 0.65) -> Step:
     """Share of status changes among the last ``n`` results of each check, after every batch.
 
-    The state holds one result more than needed, as the predecessor of the oldest counted
-    one.  A late result takes its place in time; only results older than a full state, which
-    cannot be among the last ``n``, are left out.
+    Results go by time and ``tie``. The state holds one result more than needed, as the
+    predecessor of the oldest counted one.  A late result takes its place in time; only results
+    older than a full state, which cannot be among the last ``n``, are left out.
     """
 
     def step(batch: DataFrame, state: DataFrame | None):
-        rows = batch.select(key, ts, status).withColumn("_change", F.lit(None).cast("int"))
+        place = F.struct(ts, tie)
+        rows = batch.select(key, ts, tie, status).withColumn("_change", F.lit(None).cast("int"))
         if state is not None:
-            full = state.groupBy(key).agg(F.min(ts).alias("_oldest"), F.count("*").alias("_n")).filter(F.col("_n") > n)
+            full = state.groupBy(key).agg(F.min(place).alias("_oldest"), F.count("*").alias("_n")).filter(F.col("_n") > n)
             j = null_safe_join(rows, full, [key], "left")
-            rows = j.filter(F.col("_oldest").isNull() | (F.col(ts) > F.col("_oldest"))).drop("_oldest", "_n")
-            rows = rows.unionByName(state.select(key, ts, status, F.col("status_change").alias("_change")))
-        changes = status_changes(rows, key, ts, status)
+            rows = j.filter(F.col("_oldest").isNull() | (place > F.col("_oldest"))).drop("_oldest", "_n")
+            rows = rows.unionByName(state.select(key, ts, tie, status, F.col("status_change").alias("_change")))
+        changes = status_changes(rows, key, ts, status, [tie])
         known = F.when(F.col(f"prev_{status}").isNull(), F.coalesce("_change", "status_change")).otherwise(F.col("status_change"))
-        changes = changes.withColumn("status_change", known).select(key, ts, status, "status_change")
-        last = top_per_key(changes, [key], [F.col(ts).desc()], n + 1, "_rn")
+        changes = changes.withColumn("status_change", known).select(key, ts, tie, status, "status_change")
+        last = durable(top_per_key(changes, [key], [F.col(ts).desc(), F.col(tie).desc()], n + 1, "_rn"))  # for the output and the state
         ratio = last.filter(F.col("_rn") <= n).groupBy(key).agg(
             F.max(ts).alias(ts), F.count("*").alias("checks"), F.avg("status_change").alias("change_ratio"))
         return ratio.withColumn("is_flapping", F.col("change_ratio").between(low, high)), last.drop("_rn")

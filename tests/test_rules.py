@@ -249,11 +249,30 @@ def test_selector_grammar(spark):
     assert pick("sales") == ["sales"] and pick("-hr") == []
 
 
-def test_nest_keeps_every_child_of_a_hot_parent(spark):
-    df = spark.range(1000).selectExpr("if(id < 900, 'hot', cast(id as string)) as p", "id as c")
-    d = rs.nest(df, ["p"], ["c"], max_children=100)
-    assert d.agg(F.sum(F.size("children"))).first()[0] == 1000
-    assert d.filter("p = 'hot'").count() > 5 and d.filter("p <> 'hot'").count() == 100
+def test_terms_with_one_beginning_meet_on_different_keys(spark):
+    """Terms are filed under their rarest piece; equal beginnings and common words are no common key."""
+    terms = [f"commonbeginning{i:05}" for i in range(3000)] + [f"in the word{i} of it" for i in range(500)]
+    docs = [f"x {terms[i]} y in the of it" for i in range(0, 3500, 7)] + ["commonbeginning", "in the word of it"]
+    d = spark.createDataFrame(list(enumerate(docs)), "id int, txt string")
+    t = spark.createDataFrame(list(enumerate(terms)), "tid int, term string")
+    got = sorted(tuple(r) for r in jn.contains_join(d, "id", "txt", t, "tid", "term", max_terms=0).collect())
+    assert got == sorted((i, j) for i, x in enumerate(docs) for j, y in enumerate(terms) if y in x)
+
+
+def test_signatures_tell_lists_apart(spark):
+    lists = {"a": ["x", "y"], "b": ["y", "x"], "c": ["x,y"], "d": ["x", "y"], "e": ["x", None], "f": ["x"], "g": ["x", ""], "h": ["x", "x"]}
+    rows_ = [(k, 10 * i if k == "d" else i, x) for k, v in lists.items() for i, x in enumerate(v)] + [(None, 0, "x"), (None, 1, "y")]
+    df = spark.createDataFrame(rows_, "k string, i int, x string")
+    sig = {r["k"]: r["signature"] for r in rs.signature(df, ["k"], "x", "i").collect()}
+    assert sig["a"] == sig["d"] == sig[None] and len(set(sig.values())) == 7
+
+
+def test_pivot_of_three_thousand_labels(spark):
+    df = spark.range(6000).selectExpr("id % 2 as k", "if(id = 5999, null, concat('c', lpad(id div 2, 4, '0'))) as label", "id as v")
+    d = rs.pivot_dynamic(df, ["k"], "label", F.max("v"))
+    assert len(d.columns) == 3002
+    rows_ = {r["k"]: r for r in d.collect()}
+    assert rows_[0]["c0000"] == 0 and rows_[1]["c1234"] == 2469 and rows_[0]["c2999"] == 5998 and rows_[1]["c2999"] is None and rows_[1]["null"] == 5999
 
 
 def test_thresholds(spark):

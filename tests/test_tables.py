@@ -102,10 +102,33 @@ def test_batch_load_tolerance(spark, rows):
 
 
 def test_fan_out_reports_failures(spark, tmp_path):
-    path = str(tmp_path / "ok")
+    """Missing when planned, broken when read, failing when computed: the others complete."""
+    path, broken = str(tmp_path / "ok"), tmp_path / "broken"
     spark.range(3).write.parquet(path)
-    good, bad = rd.fan_out(spark, {"a": path, "b": str(tmp_path / "none")}, spark.read.parquet)
-    assert good.count() == 3 and [r["source_name"] for r in bad.collect()] == ["b"]
+    spark.range(8).repartition(4).write.parquet(str(broken))
+    next(broken.glob("part-*")).write_text("no parquet")
+    sources = {"a": path, "b": str(tmp_path / "none"), "c": str(broken), "d": path, "e": path}
+    seen = []
+
+    def query(p):
+        seen.append(p)
+        d = spark.read.schema("id bigint").parquet(p)
+        return d.select((1 / (F.col("id") - 1)).cast("bigint").alias("id")) if seen.count(path) == 2 and p == path else d
+
+    good, bad = rd.fan_out(spark, sources, query, at_once=1)
+    failed = {r["source_name"]: r["error"] for r in bad.collect()}
+    assert {r["source_name"] for r in good.collect()} == {"a", "e"} and good.count() == 6
+    assert set(failed) == {"b", "c", "d"} and all(failed.values())
+
+
+def test_documents_have_one_shape_at_any_size(spark, tmp_path):
+    df = spark.range(60_000).selectExpr("if(id < 50000, 'hot \"&\" one', concat('p', id % 7)) as p", "id as c", "if(id % 3 = 0, null, 'a<b\n') as t")
+    wr.write_documents(df.repartition(5), str(tmp_path / "d"), ["p"], ["c", "t"], "parent", "child")
+    lines = [x for f in sorted((tmp_path / "d").glob("part-*")) for x in f.read_text().splitlines()]
+    assert len(lines) == 60_000 + 2 * 8 and max(map(len, lines)) < 100 and lines[1] == '  <child c="0"/>'
+    docs = [r["text"] for r in rd.read_documents(spark, str(tmp_path / "d"), "parent").collect()]
+    hot = next(x for x in docs if x.startswith('<parent p="hot &quot;&amp;&quot; one">'))
+    assert len(docs) == 8 and hot.count("<child ") == 50_000 and hot.endswith("</parent>") and '  <child c="1" t="a&lt;b&#10;"/>' in hot
 
 
 def test_xml_events_are_numbered(spark, tmp_path):
