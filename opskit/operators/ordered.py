@@ -43,6 +43,18 @@ def placed(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     return durable(numbered)
 
 
+def _edge_rows(p: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of ``placed`` whose key begins or ends its range.
+
+    The rows are sorted by key first, so only such keys can lie in several ranges; there are at
+    most two of them a range, however many keys there are.
+    """
+    key = F.struct(*by)
+    ends = p.groupBy("_part").agg(F.min_by(key, "_pos").alias("_first"), F.max_by(key, "_pos").alias("_last"))
+    rows = p.join(F.broadcast(ends), "_part")  # one row per partition
+    return rows.filter(key.eqNullSafe(F.col("_first")) | key.eqNullSafe(F.col("_last"))).drop("_first", "_last")
+
+
 def _offsets(parts: DataFrame, total: str) -> DataFrame:
     """Exclusive prefix sums over one row per partition."""
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -91,14 +103,8 @@ def global_rank(df: DataFrame, cols: Sequence[str], out: str = "rank", desc: boo
 
 
 def row_number_in(df: DataFrame, by: Sequence[str], order, out: str = "row_num") -> DataFrame:
-    """ROW_NUMBER inside groups that may be very large (numbers the whole order first)."""
-    numbered = global_row_number(df, [*by, *order], "_g")
-    start = numbered.groupBy(*by).agg(F.min("_g").alias("_start"))
-    return (
-        null_safe_join(numbered, start, list(by), "left")
-        .withColumn(out, F.col("_g") - F.col("_start") + 1)
-        .drop("_g", "_start")
-    )
+    """ROW_NUMBER inside groups that may be very large."""
+    return running_sum_in(df.withColumn("_one", F.lit(1).cast("bigint")), by, "_one", order, out).drop("_one")
 
 
 def running_sum_in(df: DataFrame, by: Sequence[str], value: str, order, out: str = "running") -> DataFrame:
@@ -110,11 +116,12 @@ def running_sum_in(df: DataFrame, by: Sequence[str], value: str, order, out: str
     if not by:
         return global_running_sum(df, value, order, out)
     p = placed(df, [*by, *order])
-    totals = p.groupBy(*by, "_part").agg(F.sum(value).alias("_n"))
+    totals = _edge_rows(p, by).groupBy(*by, "_part").agg(F.sum(value).alias("_n"))
     before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_part", F.sum("_n").over(before).alias("_before"))
+    offsets = totals.select(*by, "_part", F.sum("_n").over(before).alias("_before")).filter("_before is not null")
     inside = W.partitionBy(*by, "_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
-    rows = null_safe_join(p.withColumn("_inside", F.sum(value).over(inside)), offsets, [*by, "_part"], "left")
+    # at most one key a range goes on from an earlier one
+    rows = null_safe_join(p.withColumn("_inside", F.sum(value).over(inside)), F.broadcast(offsets), [*by, "_part"], "left")
     total = F.when(F.col("_before").isNull(), F.col("_inside")).otherwise(F.col("_before") + F.coalesce("_inside", F.lit(0)))
     return rows.withColumn(out, total).drop("_part", "_pos", "_before", "_inside")
 
@@ -194,11 +201,12 @@ def with_group(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
 def _series(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry) -> tuple[DataFrame, list[str], list[str]]:
     """Rows ready for a window inside their slice: (rows, partition columns, leading order).
 
-    Every slice gets one seed row (``_seed`` 0) whose ``_pay`` is the state that ``carry``
-    computes from the other slices of the key.
+    A key that goes on from another slice gets one seed row there (``_seed`` 0) whose ``_pay`` is
+    the state that ``carry`` computes from the key's other slices.
     """
-    d = placed(df, [*keys, *order]).drop("_pos").withColumnRenamed("_part", "_slice")
-    seeds = carry(d).select(*keys, "_slice", F.col("_carry").alias("_pay"), F.lit(0).alias("_seed")).filter("_pay is not null")
+    p = placed(df, [*keys, *order])
+    d, edges = (x.drop("_pos").withColumnRenamed("_part", "_slice") for x in (p, _edge_rows(p, keys)))
+    seeds = carry(edges).select(*keys, "_slice", F.col("_carry").alias("_pay"), F.lit(0).alias("_seed")).filter("_pay is not null")
     return d.withColumn("_seed", F.lit(1)).unionByName(seeds, allowMissingColumns=True), [*keys, "_slice"], ["_seed"]
 
 

@@ -12,6 +12,7 @@ from opskit.operators.aggregates import prevalence
 from opskit.operators.joins import compare_sides, not_in, resolve_polymorphic
 from opskit.operators.ordered import null_safe_join
 from opskit.operators.reshape import bucket_counts, signature, unpivot
+from opskit.session import durable
 
 
 def reconcile_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -76,7 +77,7 @@ def duplicate_definitions(items: DataFrame, obj: str, name: str, item: str, posi
     Each one is reported with the first definition it repeats, so a group of copies gives
     one row per copy instead of all pairs.
     """
-    sig = signature(items, [obj, name], item, position)
+    sig = durable(signature(items, [obj, name], item, position))
     groups = sig.groupBy(obj, "signature").agg(F.min(name).alias("same_as"), F.count("*").alias("copies")).filter("copies > 1")
     return null_safe_join(sig, groups, [obj, "signature"]).filter(F.col(name) != F.col("same_as"))
 

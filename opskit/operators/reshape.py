@@ -331,12 +331,13 @@ def folder_rollup(files: DataFrame, path: str, size: str, sep: str) -> DataFrame
 def signature(df: DataFrame, keys: Sequence[str], item: str, order: str) -> DataFrame:
     """Digest of the ordered item list of each key: equal lists have equal digests.
 
-    Items are numbered in order inside their key (over balanced ranges), and the digest adds up
-    two 60-bit hashes of number and item, so it is combined map-side and no list is built. The
-    length of the list stands in front; a null item differs from an empty text.
+    Items are numbered in order inside their key (over balanced ranges), and the digest combines
+    two 60-bit hashes of number and item by exclusive or, map-side, so no list is built (numbers
+    differ, so nothing cancels out). The length of the list stands in front; a null item differs
+    from an empty text.
     """
     rows = df.select(*keys, F.col(order).alias("_o"), F.col(item).cast("string").alias("_i"), F.lit(1).cast("bigint").alias("_one"))
     numbered = running_sum_in(rows, list(keys), "_one", ["_o", "_i"], "_n")
     digest = F.md5(F.concat(F.col("_n").cast("string"), F.coalesce(F.concat(F.lit(":"), "_i"), F.lit(""))).cast("binary"))
-    half = lambda i: F.sum(F.conv(F.substring(digest, i, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    half = lambda i: F.bit_xor(F.conv(F.substring(digest, i, 15), 16, 10).cast("bigint")).cast("string")
     return numbered.groupBy(*keys).agg(F.concat_ws("-", F.count("*").cast("string"), half(1), half(17)).alias("signature"))

@@ -134,7 +134,7 @@ def _(db):
     return rs.explode_bits(d, "mask", ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]).select("o_orderkey", "bit", "label")
 
 
-SIGNATURE = "count(*) || '-' || sum(('0x' || substr(md5(n || coalesce(':' || i, '')), 1, 15))::BIGINT) || '-' || sum(('0x' || substr(md5(n || coalesce(':' || i, '')), 17, 15))::BIGINT) AS signature"
+SIGNATURE = "count(*) || '-' || bit_xor(('0x' || substr(md5(n || coalesce(':' || i, '')), 1, 15))::BIGINT) || '-' || bit_xor(('0x' || substr(md5(n || coalesce(':' || i, '')), 17, 15))::BIGINT) AS signature"
 
 
 @report("H16_signature", f"""

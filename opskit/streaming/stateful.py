@@ -40,7 +40,8 @@ class StateTable:
             old.getFileSystem(sc._jsc.hadoopConfiguration()).delete(old, True)
 
 
-Step = Callable[[DataFrame, "DataFrame | None"], "tuple[DataFrame, DataFrame]"]
+#: (batch, state) to (output, new state); the new state may be a function of the written output.
+Step = Callable[[DataFrame, "DataFrame | None"], "tuple[DataFrame, DataFrame | Callable[[DataFrame], DataFrame]]"]
 
 
 def run_stateful(stream: DataFrame, step: Step, checkpoint: str, state_path: str, out_path: str) -> None:
@@ -50,6 +51,8 @@ def run_stateful(stream: DataFrame, step: Step, checkpoint: str, state_path: str
     def handle(batch: DataFrame, batch_id: int) -> None:
         out, state = step(batch, table.load(batch.sparkSession, batch_id))
         out.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        if callable(state):  # from what was written, so that a batch is computed once
+            state = state(batch.sparkSession.read.schema(out.schema).parquet(f"{out_path}/batch={batch_id}"))
         table.save(state, batch_id)
 
     drain_batches(stream, checkpoint, handle)
@@ -75,7 +78,7 @@ def delta_step(keys: Sequence[str], ts: str, value: str, tie: str, on_reset: str
     def step(batch: DataFrame, state: DataFrame | None):
         cols = [*keys, ts, value, tie]
         good, late = _split_late(batch.select(*cols), state, keys, [ts, tie])
-        rows = durable(good).withColumn("_old", F.lit(False))
+        rows = good.withColumn("_old", F.lit(False))
         if state is not None:
             rows = rows.unionByName(state.select(*cols).withColumn("_old", F.lit(True)))
         lagged = series_lag(rows, list(keys), [ts, tie], [value]).filter(~F.col("_old"))
@@ -86,8 +89,13 @@ def delta_step(keys: Sequence[str], ts: str, value: str, tie: str, on_reset: str
         out = lagged.select(*cols, delta.alias("delta"), F.lit(False).alias("late")).unionByName(
             late.select(*cols, F.lit(None).cast("bigint").alias("delta"), F.lit(True).alias("late")))
         rest = [c for c in cols if c not in keys]
-        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("_s")).select(
-            *keys, *[F.col(f"_s.{c}").alias(c) for c in rest])
+
+        def newest(written: DataFrame) -> DataFrame:
+            known = written.filter("not late").select(*cols)
+            known = known if state is None else known.unionByName(state.select(*cols))
+            return known.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("_s")).select(
+                *keys, *[F.col(f"_s.{c}").alias(c) for c in rest])
+
         return out, newest
 
     return step
@@ -152,9 +160,12 @@ def suppress_step(key: str, ts: str, minutes: int) -> Step:
         sent = reach(pointers, [key], per.groupBy(key).agg(F.min("_m").alias("node")))
         notices = null_safe_join(per, sent.withColumnRenamed("node", "_m"), [key, "_m"], "left_semi")
         out = notices.select(key, ts, F.lit(False).alias("late")).unionByName(behind)
-        newest = sent.groupBy(key).agg(F.max("node").alias("last_notice"))
-        if known is not None:
-            newest = newest.unionByName(known).groupBy(key).agg(F.max("last_notice").alias("last_notice"))
+
+        def newest(written: DataFrame) -> DataFrame:
+            notices = written.filter("not late").select(key, minute.alias("last_notice"))
+            notices = notices if known is None else notices.unionByName(known)
+            return notices.groupBy(key).agg(F.max("last_notice").alias("last_notice"))
+
         return out, newest
 
     return step
