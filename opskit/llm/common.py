@@ -61,8 +61,7 @@ def first_share(key: Column | str, wanted: int, rows: Column | int) -> Column:
 
 def words_of(text: Column) -> Column:
     """All words of a text (null: none), as an array."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{GAP}|{GAP}$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
 # -- vectorised text ----------------------------------------------------------------------

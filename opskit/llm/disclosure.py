@@ -244,7 +244,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     terms by [TERM], removed ones by nothing. Spans that overlap are replaced as one."""
     spans = find(docs, **options).where("size(spans) > 0").select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"), F.col("spans").alias("_spans")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.join(spans, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # its names cannot clash with those in use here
+    rows = docs.select("doc_id", "text", whole).join(spans, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left")
     merged = F.aggregate(
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(
@@ -255,7 +256,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
         ),
         lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1)),
     )
-    return rows.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(merged)).select(*docs.columns)
+    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(merged)
+    return rows.select(F.col("_row").withField("text", clean).alias("_row")).select("_row.*")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:

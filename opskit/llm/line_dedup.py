@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from opskit.llm.common import GAP, durable
+from opskit.llm.common import durable, words_of
 
 #: Words of the shortest run that is deleted.
 MIN_WORDS = 50
@@ -20,11 +20,6 @@ MIN_WORDS = 50
 DOC = ["_doc", "_text"]
 
 
-def _words_in(line: Column) -> Column:
-    trimmed = F.regexp_replace(line, f"^{GAP}|{GAP}$", "")
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, GAP)))
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """Columns _doc and _text identify a document: rows alike in id and text are one."""
     return docs.withColumns({"_doc": F.col("doc_id"), "_text": F.xxhash64("text")})
@@ -32,7 +27,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(document, j, line, words, name) of all lines with a word; j counts these lines."""
-    rows = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x"), _words_in(x).alias("words")))
+    rows = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x"), F.size(words_of(x)).alias("words")))
     solid = F.filter(rows, lambda r: r["words"] > 0)
     out = _keyed(docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")).select(*DOC, F.posexplode(solid).alias("j", "r"))
     return out.select(*DOC, "j", "r.line", "r.words", F.xxhash64("r.x").alias("n1"), F.xxhash64(F.lit("line"), F.col("r.x")).alias("n2"))
@@ -151,6 +146,7 @@ def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the deleted lines; documents of which no word is left are dropped."""
-    rows = _with_lines(docs, min_words).withColumn("_rest", _kept_text())
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # its names cannot clash with those in use here
+    rows = _with_lines(docs.select("doc_id", "text", whole), min_words).withColumn("_rest", _kept_text())
     left = rows.where(F.col("_lines").isNull() | F.col("_rest").rlike(r"[^\x20\x09-\x0D]"))
-    return left.withColumn("text", F.col("_rest")).select(*docs.columns)
+    return left.select(F.col("_row").withField("text", F.col("_rest")).alias("_row")).select("_row.*")

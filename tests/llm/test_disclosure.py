@@ -93,3 +93,10 @@ def test_entities_with_two_contexts_short_names_and_numbers(docs, prose):
         found |= {(r.doc_id, texts[r.doc_id][int(a) : int(b)].lower()) for k, a, b in spans if k in ("generalised", "removed")}
     names = {"bo", "o'neil-smith", "a-4471/7"}
     assert found == {(100, "quokkaclub"), (101, "quokkaclub"), (120, "quokkaclub")} | {(d, x) for d in (110, 111, 112, 113, 120) for x in names}
+
+
+def test_columns_with_names_in_use_inside(docs):
+    df = docs([(1, "to a.b@c.de now"), (None, None)]).withColumnsRenamed({"key": "_spans", "node": "_d", "part": "_t", "root": "_row"})
+    out = disclosure.sanitise(df)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == df.columns and got[1]["text"] == "to [EMAIL] now" and got[1]["_spans"] == "k" and got[None]["_row"] == "r"

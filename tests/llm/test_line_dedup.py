@@ -95,3 +95,13 @@ def test_stage(docs):
 def test_no_python_in_the_plan(docs):
     plan = line_dedup.report(docs(corpus()), 12)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_columns_with_names_in_use_inside(docs):
+    run = "\n".join(" ".join(f"w{10 * i + k}" for k in range(10)) for i in range(8))
+    names = {"key": "_lines", "node": "_rest", "part": "_doc", "root": "_text", "source": "_row"}
+    df = docs([(1, run), (2, "own\n" + run), (None, None)]).withColumnsRenamed(names)
+    out = line_dedup.deduplicate(df)
+    assert out.schema == df.schema
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[2]["text"] == "own" and got[2]["_lines"] == "k" and got[2]["_row"] == "s" and got[1]["text"] == run and got[None]["text"] is None

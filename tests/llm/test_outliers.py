@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from opskit.llm import outliers
 
@@ -89,3 +90,11 @@ def test_distances_match_numpy(spark):
 def test_no_python_in_the_plan(docs):
     plan = outliers.judge(docs(corpus()[:50]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_words_next_to_unicode_breaks_and_long_blanks(spark):
+    from opskit.llm.common import words_of
+
+    texts = {"a b \x85": 3, "\x85": 1, "a\u2028": 1, " \t\n\x0b\x0c\r": 0, "": 0, None: 0, "a" + " " * 1_000_000 + "b" + "\n" * 1_000_000: 2}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.size(words_of(F.col("t"))).alias("n"))
+    assert [r["n"] for r in df.collect()] == list(texts.values())
