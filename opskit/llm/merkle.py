@@ -137,6 +137,7 @@ def _forest(docs: DataFrame, tampered: Callable[[Column], Column]) -> tuple[list
     text, fields = F.col("text"), [F.col(c) for c in FIELDS]
     changed = F.when(tampered(F.col("doc_id")), row_digest(*fields[:-1], lower_ascii(text)))
     rows = docs.select("doc_id", F.col("source").alias("tree"), row_digest(*fields).alias("node"), changed.alias("changed"), F.lit(1).cast("bigint").alias("one"))
+    rows = durable(rows)  # texts are read once, before the rows are sampled for their ranges
     numbered = running_sum_in(rows, ["tree"], "one", ["doc_id", "node"], "pos").withColumn("pos", F.col("pos") - 1).drop("one")
     trees = grow(numbered)
     places = global_row_number(roots(trees), ["tree"], "pos").select(
