@@ -2,10 +2,11 @@
 
 Every 400-byte string contains grams, and equal strings contain the same gram with the
 smallest hash, their anchor. Neighbouring strings with one anchor form a segment, so segments
-of one anchor are the only places where a string of theirs can occur again. Copies of a
-segment are counted, not sorted. The different segments of an anchor are brought together
-and their suffixes are sorted to the length of a string: multikey quicksort (by 8-byte words)
-down to a shallow depth, then a blind trie for every group with a longer common prefix.
+of one anchor are the only places where a string of theirs can occur again. The segments of
+repeated anchors are brought together, in one shuffle of their bytes. Copies of a segment are
+counted, the suffixes of different ones are sorted to the length of a string: multikey
+quicksort (by 8-byte words) down to a shallow depth, then a blind trie for every group with a
+longer common prefix. Anchors with many segments are counted before any bytes move.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ LENGTH = 400
 #: at last by whole strings, so that no group grows with the data.
 GRAMS = (64, 232, 316, 400)
 GROUP = 256
-#: Bits of the filter of repeated anchors that every task gets (512 KB). It only spares segments
-#: that cannot matter from being written; what passes it wrongly is counted and dropped later.
-FILTER_BITS = 1 << 22
+#: Bits of a filter that every task gets (4 MB). Filters only spare segments and texts that cannot
+#: matter from being shuffled; what passes one wrongly is sorted or joined and found single.
+FILTER_BITS = 1 << 25
 #: Bytes that are compared by multikey quicksort before blind tries take over.
 SHALLOW = 32
 
@@ -94,7 +95,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, gram: int, length: int = LEN
     return at, begin - offsets[at], end - offsets[at], lowest[begin], range_hash(prefix, begin, end), own
 
 
-META = "doc_id bigint, _text bigint, start int, end int, anchor bigint, content bigint, weight bigint, own boolean"
+META = "doc_id bigint, _text bigint, start int, anchor bigint, weight bigint, own boolean"
+COUNTED, CARVED = f"{META}, end int, content bigint", f"{META}, bytes binary"
 
 
 def _anchors(gram: int, length: int):
@@ -111,34 +113,50 @@ def _anchors(gram: int, length: int):
     return run
 
 
-def _repeated(pieces: DataFrame, gram: int, length: int) -> np.ndarray:
-    """Packed bits of the anchors that occur at least twice or whose segment holds a string twice."""
-    counts = pieces.mapInArrow(_anchors(gram, length), "anchor bigint, weight bigint").groupBy("anchor").agg(F.sum("weight").alias("n"))
-    # at most FILTER_BITS numbers, however many anchors there are
-    at = counts.where("n > 1").select(F.expr(f"anchor & {FILTER_BITS - 1}").cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[at] = True
-    return np.packbits(bits)
+def _bits(hashes: DataFrame, column: str, *conditions: str) -> list[np.ndarray]:
+    """For each condition the words of a filter of the hashes that meet it, however many there are."""
+    bit = F.expr(f"cast({column} & {FILTER_BITS - 1} as int)")
+    marks = [F.expr(f"bit_or(if({c}, shiftleft(1, bit & 31), 0))").alias(f"m{i}") for i, c in enumerate(conditions)]
+    # at most FILTER_BITS / 32 rows
+    rows = hashes.withColumn("bit", bit).groupBy((F.shiftrightunsigned("bit", 5)).alias("word")).agg(*marks).toPandas()
+    out = []
+    for i in range(len(conditions)):
+        words = np.zeros(FILTER_BITS // 32, np.uint32)
+        words[rows["word"].to_numpy(np.int64)] = rows[f"m{i}"].to_numpy(np.int32).view(np.uint32)
+        out.append(words)
+    return out
+
+
+def _marked(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes pass a filter."""
+    bit = hashes.view(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (words[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
 
 
-def _cut(gram: int, length: int, packed: np.ndarray):
-    """Segments of pieces (doc_id, _text, offset, weight, bytes) whose anchor passes the filter."""
+def _cut(gram: int, length: int, wanted: np.ndarray, unwanted: np.ndarray | None, bytes_too: bool):
+    """Segments of pieces (doc_id, _text, offset, weight, bytes) whose anchor passes the filters."""
 
     def run(batches):
-        bits = np.unpackbits(packed).astype(bool)
         for batch in batches:
             data, offsets = _binary(batch.column(4))
             base = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in ranges(offsets):
-                found = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], gram, length)
-                keep = bits[(found[3] % np.uint64(FILTER_BITS)).astype(np.int64)]
-                doc, start, end, anchor, content, own = (x[keep] for x in found)
-                rows = pa.array(a + doc)
-                shift = base[a + doc]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array((start + shift).astype(np.int32)), pa.array((end + shift).astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column(3).take(rows), pa.array(own)],
-                    ["doc_id", "_text", "start", "end", "anchor", "content", "weight", "own"],
-                )
+                raw, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                found = segments(raw, at, gram, length)
+                keep = _marked(wanted, found[3])
+                if unwanted is not None:
+                    keep &= ~_marked(unwanted, found[3])
+                keep = np.flatnonzero(keep)
+                for k in range(0, len(keep), 4096):
+                    doc, start, end, anchor, content, own = (x[keep[k : k + 4096]] for x in found)
+                    rows = pa.array(a + doc)
+                    shift = base[a + doc]
+                    columns = {"doc_id": batch.column(0).take(rows), "_text": batch.column(1).take(rows), "start": pa.array((start + shift).astype(np.int32)), "anchor": pa.array(anchor.view(np.int64)), "weight": batch.column(3).take(rows), "own": pa.array(own)}
+                    if bytes_too:
+                        columns["bytes"] = pa.array([raw[x:y].tobytes() for x, y in zip(at[doc] + start, at[doc] + end)], pa.binary())
+                    else:
+                        columns |= {"end": pa.array((end + shift).astype(np.int32)), "content": pa.array(content.view(np.int64))}
+                    yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -238,51 +256,75 @@ def sorted_groups(data: bytes, at: np.ndarray, owner: np.ndarray, length: int =
         yield from (g for g in trie.ordered() if len(g) > 1)
 
 
+def _group_spans(rows: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Repeated spans of the segments of whole anchors (rows in the order of anchors)."""
+    data, offsets = _binary(rows.column(6))
+    anchor, weight, own = (rows.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
+    size = np.diff(offsets)
+    content = range_hash(prefix_hash(data), offsets[:-1], offsets[1:])
+    # copies of a segment: each is a span, the first one stands for them
+    order = np.lexsort((size, content, anchor))
+    new = np.ones(len(order), bool)
+    new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (content[order][1:] != content[order][:-1]) | (size[order][1:] != size[order][:-1])
+    kind = np.cumsum(new) - 1
+    total = np.bincount(kind, weight[order])
+    first = order[new]
+    copied = order[total[kind] > 1]
+    # anchors with several segments, or strings twice in one, at least one segment of which occurs once
+    group = np.cumsum(np.concatenate(([False], anchor[first][1:] != anchor[first][:-1])))
+    single = np.bincount(group, total == 1) > 0
+    several = (np.bincount(group) > 1) | (np.bincount(group, own[first]) > 0)
+    chosen = (single & several)[group]
+    segs, owners, once = first[chosen], group[chosen], total[chosen] == 1
+    n = np.maximum(0, size[segs] - length + 1)
+    segment = np.repeat(np.arange(len(segs)), n)
+    place = offsets[segs][segment] + np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
+    raw = data.tobytes()
+    hit = np.zeros(len(raw) + 1, bool)
+    for found in sorted_groups(raw, place, owners[segment], length):
+        hit[found] = True
+    # maximal runs of covered bytes, cut at the borders of segments
+    marks = np.zeros(len(raw) + length + 1, np.int32)
+    on = np.flatnonzero(hit)
+    np.add.at(marks, on, 1)
+    np.add.at(marks, on + length, -1)
+    inside = np.concatenate(([False], np.cumsum(marks)[: len(raw)] > 0, [False]))
+    opens = inside[1:] & ~inside[:-1]
+    opens[offsets[:-1][size > 0]] |= inside[1:][offsets[:-1][size > 0]]
+    closes = inside[:-1] & ~inside[1:]
+    closes[offsets[1:][size > 0]] |= inside[:-1][offsets[1:][size > 0]]
+    x, y = np.flatnonzero(opens), np.flatnonzero(closes)
+    seg = np.searchsorted(offsets, x, "right") - 1
+    wanted = np.zeros(len(size), bool)
+    wanted[segs[once]] = True
+    x, y, seg = x[wanted[seg]], y[wanted[seg]], seg[wanted[seg]]
+    base = rows.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+    take = np.concatenate((copied, seg))
+    start = np.concatenate((base[copied], base[seg] + x - offsets[seg]))
+    end = np.concatenate((base[copied] + size[copied], base[seg] + y - offsets[seg]))
+    at = pa.array(take)
+    return pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["doc_id", "_text", "start", "end"])
+
+
 def _sort(length: int):
-    """Repeated spans of the segments that occur once, from rows of one anchor's segments."""
+    """Repeated spans from carved segments in the order of their anchors."""
 
     def run(batches):
+        rest = None
         for batch in batches:
-            groups = batch.column(0)
-            items = groups.flatten()
-            sizes = np.diff(groups.offsets.to_numpy())
-            fields = {f.name: items.field(i) for i, f in enumerate(items.type)}
-            data, offsets = _binary(fields["bytes"])
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            weight = fields["weight"].to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            spans: list[tuple[int, int, int]] = []
-            a = 0
-            while a < len(sizes):  # a few anchors at once
-                lo = int(ends[a] - sizes[a])
-                b = max(a + 1, int(np.searchsorted(offsets[ends], offsets[lo] + CHUNK, "right")))
-                hi = int(ends[min(b, len(sizes)) - 1])
-                part, at = data[offsets[lo] : offsets[hi]].tobytes(), offsets[lo : hi + 1] - offsets[lo]
-                n = np.maximum(0, np.diff(at) - length + 1)
-                segment = np.repeat(np.arange(hi - lo), n)
-                place = at[segment] + np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
-                hit = np.zeros(len(part) + 1, bool)
-                for found in sorted_groups(part, place, owner[lo:hi][segment], length):
-                    hit[found] = True
-                covered = np.zeros(len(part) + 1, np.int32)
-                on = np.flatnonzero(hit)
-                np.add.at(covered, on, 1)
-                np.add.at(covered, on + length, -1)
-                inside = np.cumsum(covered) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], inside))))
-                # two segments lie side by side here: cut runs at their borders
-                for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                    first, last = (int(np.searchsorted(at, v, "right")) - 1 for v in (x, y - 1))
-                    for s in range(first, last + 1):
-                        if weight[lo + s] == 1:
-                            spans.append((lo + s, int(max(x, at[s]) - at[s]), int(min(y, at[s + 1]) - at[s])))
-                a = b
-            rows = pa.array([s[0] for s in spans], pa.int64())
-            base = fields["start"].take(rows).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [fields["doc_id"].take(rows), fields["_text"].take(rows), pa.array((base + np.array([s[1] for s in spans], int)).astype(np.int32), pa.int32()), pa.array((base + np.array([s[2] for s in spans], int)).astype(np.int32), pa.int32())],
-                ["doc_id", "_text", "start", "end"],
-            )
+            if rest is not None and rest.num_rows:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            if not batch.num_rows:
+                continue
+            anchor = batch.column(3).to_numpy(zero_copy_only=False)
+            edge = np.append(np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))), len(anchor))
+            _, offsets = _binary(batch.column(6))
+            # the last anchor may go on in the next batch
+            for a, b in ranges(offsets[edge[:-1]]):
+                yield _group_spans(batch.slice(edge[a], edge[b] - edge[a]), length)
+            rest = batch.slice(edge[-2])
+        if rest is not None and rest.num_rows:
+            yield _group_spans(rest, length)
 
     return run
 
@@ -298,25 +340,28 @@ def _same_doc(left: str, right: str):
 
 def _level(pieces: DataFrame, texts: DataFrame, gram: int, length: int, group: int) -> tuple[list[DataFrame], DataFrame | None]:
     """Repeated spans among ``pieces`` and the segments of anchors with too many of them (as pieces)."""
-    meta = durable(pieces.mapInArrow(_cut(gram, length, _repeated(pieces, gram, length)), META))
+    counts = pieces.mapInArrow(_anchors(gram, length), "anchor bigint, weight bigint").groupBy("anchor").agg(F.sum("weight").alias("n"))
+    repeated, large = _bits(counts, "anchor", "n > 1", f"n > {group if gram < length else 1}")
+    out = []
+    if gram < length:
+        carved = pieces.mapInArrow(_cut(gram, length, repeated, large, True), CARVED)
+        out.append(carved.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), SPANS))
+    if not large.any():
+        return out, None
+    meta = durable(pieces.mapInArrow(_cut(gram, length, large, None, False), COUNTED))
     size = F.col("end") - F.col("start")
-    alike = meta.groupBy("anchor", "content", size.alias("size")).agg(F.sum("weight").alias("weight"), F.max("own").alias("own"), F.min(F.struct("doc_id", "_text", "start", "end")).alias("rep"))
-    alike = durable(alike)
+    alike = durable(meta.groupBy("anchor", "content", size.alias("size")).agg(F.sum("weight").alias("weight"), F.max("own").alias("own"), F.min(F.struct("doc_id", "_text", "start", "end")).alias("rep")))
     copied = alike.where("weight > 1").select("anchor", "content", "size")
-    full = meta.withColumn("size", size).join(copied, ["anchor", "content", "size"]).select("doc_id", "_text", "start", "end")
+    out.append(meta.withColumn("size", size).join(copied, ["anchor", "content", "size"]).select("doc_id", "_text", "start", "end"))
     if gram >= length:
-        return [full], None
+        return out, None
     # anchors with several segments or strings twice in one, at least one segment of which occurs once
-    groups = alike.groupBy("anchor").agg(F.count("*").alias("segments"), F.min("weight").alias("least"), F.max("own").alias("own")).where("(segments > 1 or own) and least = 1").select("anchor", "segments")
-    open_ = alike.join(groups, "anchor").select("anchor", "segments", "weight", "rep.*")
-    wanted = open_.groupBy(F.col("doc_id").alias("w_doc_id"), F.col("_text").alias("w__text")).agg(F.collect_list(F.struct("anchor", "segments", "weight", "start", "end")).alias("cuts"))
-    # at most the segments of one document in a list
+    groups = alike.groupBy("anchor").agg(F.count("*").alias("segments"), F.min("weight").alias("least"), F.max("own").alias("own")).where("(segments > 1 or own) and least = 1").select("anchor")
+    open_ = alike.join(groups, "anchor").select("weight", "rep.*")
+    wanted = open_.groupBy(F.col("doc_id").alias("w_doc_id"), F.col("_text").alias("w__text")).agg(F.collect_list(F.struct("weight", "start", "end")).alias("cuts"))
+    # at most the segments of one document in a list; rows alike in id and text are carved once
     rows = _carved(texts.join(wanted, _same_doc("", "w_")))
-    carved = durable(rows.dropDuplicates(["doc_id", "_text", "start", "end"]))
-    few = carved.where(F.col("segments") <= group).groupBy("anchor").agg(F.collect_list(F.struct("doc_id", "_text", "start", "weight", "bytes")).alias("items"))
-    found = few.select("items").mapInArrow(_sort(length), SPANS)
-    large = carved.where(F.col("segments") > group).select("doc_id", "_text", F.col("start").alias("offset"), "weight", "bytes")
-    return [full, found], large
+    return out, durable(rows.dropDuplicates(["doc_id", "_text", "offset", "size"]).drop("size"))
 
 
 def _carved(rows: DataFrame) -> DataFrame:
@@ -335,11 +380,11 @@ def _carved(rows: DataFrame) -> DataFrame:
                 cut = [data[offsets[d] + s : offsets[d] + e].tobytes() for d, s, e in zip(doc[a:b], start[a:b], end[a:b])]
                 rows = pa.array(doc[a:b])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), *(items.field(names.index(c)).slice(a, b - a) for c in ("anchor", "segments", "weight", "start", "end")), pa.array(cut, pa.binary())],
-                    ["doc_id", "_text", "anchor", "segments", "weight", "start", "end", "bytes"],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start[a:b]), items.field(names.index("weight")).slice(a, b - a), pa.array(cut, pa.binary()), pa.array(end[a:b] - start[a:b])],
+                    ["doc_id", "_text", "offset", "weight", "bytes", "size"],
                 )
 
-    schema = "doc_id bigint, _text bigint, anchor bigint, segments bigint, weight bigint, start int, end int, bytes binary"
+    schema = "doc_id bigint, _text bigint, offset int, weight bigint, bytes binary, size int"
     return rows.select("doc_id", "_text", "text", "cuts").mapInArrow(run, schema)
 
 
@@ -362,6 +407,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, grams: tuple[int, ...]
     return spans
 
 
+def _passing(words: np.ndarray, passing: bool):
+    """Rows whose text passes the filter, or does not."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_marked(words, batch.column(2).to_numpy(zero_copy_only=False)) == passing))
+
+    return run
+
+
 def _removed(batches):
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
@@ -398,10 +453,14 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, grams: tuple[int, ...] =
     all copies alike. A null text counts as empty; shorter texts lose nothing; other columns
     are ignored. The kept bytes may cut a code point, so they are given as binary.
     """
-    spans = repeated_spans(docs, length, grams, group).select("doc_id", "_text", F.struct("start", "end").alias("s"))
+    spans = durable(repeated_spans(docs, length, grams, group))
     # at most two spans per segment of the document
-    per = spans.groupBy(F.col("doc_id").alias("w_doc_id"), F.col("_text").alias("w__text")).agg(F.collect_set("s").alias("spans"))
+    per = spans.groupBy(F.col("doc_id").alias("w_doc_id"), F.col("_text").alias("w__text")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).withColumn("_text", F.xxhash64("text"))
-    rows = plain.join(per, _same_doc("", "w_"), "left").select("doc_id", "text", "spans")
-    return rows.mapInArrow(_removed, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    (touched,) = _bits(spans, "_text", "true")
+    schema = "doc_id bigint, text string, _text bigint"
+    # texts without a span are not shuffled
+    whole = plain.mapInArrow(_passing(touched, False), schema).select("doc_id", "text", F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"))
+    rows = plain.mapInArrow(_passing(touched, True), schema).join(per, _same_doc("", "w_"), "left").select("doc_id", "text", "spans")
+    return whole.unionByName(rows).mapInArrow(_removed, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
