@@ -117,13 +117,18 @@ def _bits(hashes: DataFrame, column: str, *conditions: str) -> list[np.ndarray]:
     """For each condition the words of a filter of the hashes that meet it, however many there are."""
     bit = F.expr(f"cast({column} & {FILTER_BITS - 1} as int)")
     marks = [F.expr(f"bit_or(if({c}, shiftleft(1, bit & 31), 0))").alias(f"m{i}") for i, c in enumerate(conditions)]
-    # at most FILTER_BITS / 32 rows
-    rows = hashes.withColumn("bit", bit).groupBy((F.shiftrightunsigned("bit", 5)).alias("word")).agg(*marks).toPandas()
-    out = []
-    for i in range(len(conditions)):
-        words = np.zeros(FILTER_BITS // 32, np.uint32)
-        words[rows["word"].to_numpy(np.int64)] = rows[f"m{i}"].to_numpy(np.int32).view(np.uint32)
-        out.append(words)
+    # at most FILTER_BITS / 32 rows, which go to the driver as a few byte strings
+    rows = hashes.withColumn("bit", bit).groupBy(F.shiftrightunsigned("bit", 5).alias("word")).agg(*marks)
+
+    def joined(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()) for c in batch.columns], batch.schema.names)
+
+    out = [np.zeros(FILTER_BITS // 32, np.uint32) for _ in conditions]
+    for row in rows.mapInArrow(joined, ", ".join(f"{c} binary" for c in rows.columns)).collect():
+        at = np.frombuffer(row[0], np.int32)
+        for words, some in zip(out, row[1:]):
+            words[at] = np.frombuffer(some, np.uint32)
     return out
 
 
