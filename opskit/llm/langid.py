@@ -25,6 +25,10 @@ LANGUAGES = 2_000
 REJECT = 0.05
 #: Code points worked on at once.
 CHUNK = 1 << 20
+#: N-grams whose vectors are held at once, and documents whose counts of them are: 2,048 vectors are 8 MB.
+BLOCK = 2048
+#: Letter vectors a task remembers (1 KB each); others are drawn again.
+REMEMBERED = 1 << 14
 
 _LETTERS: list[np.ndarray] = []
 _VECTORS: dict[tuple[int, int], np.ndarray] = {}
@@ -39,9 +43,12 @@ def _letters() -> np.ndarray:
 
 def _letter_vector(code: int, dimensions: int) -> np.ndarray:
     key = (code, dimensions)
-    if key not in _VECTORS:
-        _VECTORS[key] = (np.random.default_rng([7, code]).integers(0, 2, dimensions) * 2 - 1).astype(np.float32)
-    return _VECTORS[key]
+    if key in _VECTORS:
+        return _VECTORS[key]
+    vector = (np.random.default_rng([7, code]).integers(0, 2, dimensions) * 2 - 1).astype(np.int8)
+    if len(_VECTORS) < REMEMBERED:
+        _VECTORS[key] = vector
+    return vector
 
 
 def _chunks(texts: list[str]):
@@ -86,18 +93,22 @@ def document_vectors(texts: list[str], dimensions: int = DIMENSIONS, n: int = N)
     if not len(grams):
         return out, has
     used, place = np.unique(grams, return_inverse=True)
-    letters = np.stack([_letter_vector(int(c), dimensions) for c in alphabet])
-    bound = np.ones((len(used), dimensions), np.float32)
-    for k in range(n):
-        bound *= np.roll(letters, n - 1 - k, axis=1)[used // len(alphabet) ** (n - 1 - k) % len(alphabet)]
-    step = max(1, (1 << 23) // len(used))  # documents whose counts fit in 32 MB
-    order = np.argsort(owner, kind="stable")
-    owner, place = owner[order], place[order]
-    for a in range(0, len(texts), step):
-        b = min(len(texts), a + step)
-        lo, hi = np.searchsorted(owner, (a, b))
-        counts = np.bincount((owner[lo:hi] - a) * len(used) + place[lo:hi], minlength=(b - a) * len(used))
-        out[a:b] = np.sqrt(counts.astype(np.float32)).reshape(b - a, len(used)) @ bound
+    pair, count = np.unique(place * len(texts) + owner, return_counts=True)  # by n-gram, then document
+    gram, owner, weight = pair // len(texts), pair % len(texts), np.sqrt(count).astype(np.float32)
+    for a in range(0, len(used), BLOCK):
+        some = used[a : a + BLOCK]
+        bound = np.ones((len(some), dimensions), np.float32)
+        for k in range(n):
+            own, at = np.unique(some // len(alphabet) ** (n - 1 - k) % len(alphabet), return_inverse=True)
+            letters = np.stack([_letter_vector(c, dimensions) for c in alphabet[own].tolist()])
+            bound *= np.roll(letters, n - 1 - k, axis=1)[at]
+        lo, hi = np.searchsorted(gram, (a, a + BLOCK))
+        docs, row = np.unique(owner[lo:hi], return_inverse=True)
+        for x in range(0, len(docs), BLOCK):
+            mine = np.flatnonzero((row >= x) & (row < x + BLOCK))
+            counts = np.zeros((min(BLOCK, len(docs) - x), len(some)), np.float32)
+            counts[row[mine] - x, gram[lo:hi][mine] - a] = weight[lo:hi][mine]
+            out[docs[x : x + BLOCK]] += counts @ bound
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norm > 0, norm, 1), has
 
@@ -105,17 +116,18 @@ def document_vectors(texts: list[str], dimensions: int = DIMENSIONS, n: int = N)
 def prototypes(docs: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS, n: int = N) -> dict[str, list[float]]:
     """Language -> prototype, bundled from at most ``sample`` documents per language.
 
-    The sample is chosen by a hash of the id. Null or
-    letterless texts and null languages teach nothing.
+    The sample is chosen by a hash of id and text, so rows that share an id, or have none, are
+    drawn one by one. Null or letterless texts and null languages teach nothing. More than
+    ``LANGUAGES`` languages raise an error, as their prototypes are broadcast.
     """
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", F.col("text").cast("string").alias("text"))
     sizes = known.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
     sizes = sizes.sparkSession.createDataFrame(sizes.limit(LANGUAGES + 1).collect(), "_lang string, _n bigint")
     if sizes.count() > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages: raise LANGUAGES if their prototypes may be broadcast")
     # about twice the sample of each language is gathered, whatever its share of all rows
-    some = known.join(F.broadcast(sizes), F.col("lang") == F.col("_lang")).where(first_share("doc_id", sample, F.col("_n")))
+    some = known.join(F.broadcast(sizes), F.col("lang") == F.col("_lang")).where(first_share(F.xxhash64("doc_id", "text"), sample, F.col("_n")))
     ids = some.select("lang", "doc_id", "text").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample)
 
     def bundle(batches):

@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
+
 from opskit.llm import langid
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ra", "su"], "bb": ["schen", "ung", "pfer", "licht"], "cc": ["eau", "oux", "ère", "ç"]}
@@ -52,3 +55,48 @@ def test_stage_keeps_recognised_documents(docs):
     kept = langid.keep_identified(docs(rows))
     assert kept.columns == docs([]).columns and sorted(r.doc_id for r in kept.collect()) == list(range(60))
     assert langid.keep_identified(docs([])).count() == 0
+
+
+def naive(text, dimensions):
+    """Letter by letter: gaps are one sign, n-grams of three with two letters at least, square roots of counts."""
+    signs, counts = ["\0"], {}
+    for c in text.lower():
+        if c.isalpha():
+            signs.append(c)
+        elif signs[-1] != "\0":
+            signs.append("\0")
+    if signs[-1] != "\0":
+        signs.append("\0")
+    for i in range(len(signs) - 2):
+        gram = tuple(signs[i : i + 3])
+        if sum(c != "\0" for c in gram) >= 2:
+            counts[gram] = counts.get(gram, 0) + 1
+    out = np.zeros(dimensions)
+    for gram, n in counts.items():
+        vector = np.ones(dimensions)
+        for k, c in enumerate(gram):
+            vector = vector * np.roll(langid._letter_vector(0 if c == "\0" else ord(c), dimensions).astype(float), 2 - k)
+        out += n**0.5 * vector
+    return out / (np.linalg.norm(out) or 1)
+
+
+def test_vectors_match_n_grams_bound_letter_by_letter():
+    rng = random.Random(4)
+    han = "".join(chr(rng.randint(0x4E00, 0x6000)) for _ in range(5000))  # more n-grams than a block holds
+    texts = ["Kato  mi, KATO!", "schen-ung 12 schen", "x", "ab", "", han, "é ç à la" * 3]
+    vectors, _ = langid.document_vectors(texts, 64)
+    assert abs(vectors - np.stack([naive(t, 64) for t in texts])).max() < 1e-4
+
+
+def test_long_text_of_many_letters_needs_little_memory():
+    rng = random.Random(5)
+    han = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(200_000))
+    tracemalloc.start()
+    langid.document_vectors([han])
+    assert tracemalloc.get_traced_memory()[1] < 250e6
+    tracemalloc.stop()
+
+
+def test_rows_without_an_id_are_sampled_one_by_one(docs):
+    rows = [(None if lang == "aa" else i, t, lang, s) for i, t, lang, s in corpus(300)]
+    assert sorted(langid.prototypes(docs(rows), sample=10)) == ["aa", "bb", "cc"]
