@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from opskit.llm.common import batches_of, durable, lowered, mix, mixed_sequence, prefix_hash, range_hash, ranges, text_bytes, word_ranges
+from opskit.operators.joins import broadcast_if_small
 
 SHINGLE = 5
 PERCENT = 75
@@ -145,15 +146,6 @@ def _alike(percent: int):
     return (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ <= DIFFER)
 
 
-def _first_table():
-    """Condition on a pair of a bucket that no smaller table key brings it together as well.
-
-    A pair shares the tables of all combinations of its common short hashes; one of them is
-    the one with the smallest hash of each collection, and only that table yields the pair.
-    """
-    return F.col("key") == _table_key(*[F.array_min(F.array_intersect(f"a_h{i}", f"b_h{i}")) for i in (0, 1)])
-
-
 def _named(df: DataFrame, prefix: str, *others: str) -> DataFrame:
     return df.select(*others, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in others])
 
@@ -174,15 +166,46 @@ def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return durable(rows.join(major.select("key", F.col("top.root").alias("major")), "key"))
 
 
+def _prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, root) with different roots that can reach the similarity.
+
+    The shingles of a set are ordered by rarity among the nodes. Two sets of n1 and n2 shingles
+    that are linked have need = ceil(percent * (n1 + n2) / (100 + percent)) in common, so the
+    first one they have in common has at least need - 1 behind it in both. In a pair that is
+    alike but not linked each set has more shingles of its own than may stand before it; as
+    they are rarer than those of the family, such pairs hardly ever meet.
+    """
+    whole = sets.join(nodes, "node").withColumn("s", F.xxhash64("members")).dropDuplicates(["node", "s"])
+    rows = whole.select("node", "s", "root", F.size("members").cast("bigint").alias("n"), F.explode("members").alias("token"))
+    counts = rows.groupBy("token").agg(F.count("*").alias("df"), (F.min("root") < F.max("root")).alias("across"))
+    place = F.row_number().over(W.partitionBy("node", "s").orderBy("df", "token")) - 1
+    ranked = rows.join(counts, "token").withColumn("rest", F.col("n") - place)
+    found = ranked.where(f"across and rest * 100 >= n * {percent}").select("token", "node", "root", "n", "rest")
+    found = durable(found)
+    # nodes of the largest component of a shingle are met by the others, not by each other
+    sizes = found.groupBy("token", "root").agg(F.count("*").alias("k"))
+    major = sizes.groupBy("token").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+    found = durable(found.join(major.select("token", (F.col("top.root")).alias("major")), "token"))
+    indexed = found.where(f"rest * {100 + percent} >= n * {2 * percent}")
+    shorter = _named(indexed.drop("major"), "b_", "token")
+    outer, inner = F.col("root") != F.col("major"), F.col("root") == F.col("major")
+    need = (F.col("a_n") + F.col("b_n")) * percent
+    may = (F.col("a_root") != F.col("b_root")) & (F.struct("a_n", "a_node") > F.struct("b_n", "b_node")) & (F.least("a_rest", "b_rest") * (100 + percent) >= need)
+    one = _named(found.where(outer).drop("major"), "a_", "token").join(shorter, "token").where(may)
+    two = _named(found.where(inner).drop("major"), "a_", "token").join(_named(indexed.where(outer).drop("major"), "b_", "token"), "token").where(may)
+    pairs = one.select("a_node", "b_node").union(two.select("a_node", "b_node"))
+    return pairs.select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b")).distinct()
+
+
 def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Documents with equal sets count as one node. Large families are joined first: every node
     is confirmed against one node, the pivot (smallest node) it shares most buckets with; then
     nodes outside a bucket's largest component against a node of that component. What is left
-    is whole: in every bucket that still holds several components, all pairs across
-    components are confirmed, so no link between different components is missed, and pairs
-    inside a component are never built.
+    is whole: nodes of buckets that still hold several components meet across components by
+    their rarest shingles, which every link shares (prefix filter), and are confirmed; pairs
+    inside a component, and pairs that are alike but too different, are not built.
 
     A null or blank text has an empty set and is its own component. Repeated rows get the same
     answer; different texts under one doc_id count as linked through that id once either is
@@ -217,14 +240,8 @@ def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent:
     edges = durable(edges.union(_confirmed(best.select("a", (-F.col("x.col2")).alias("b")), sets, percent)))
     roots = components(edges)
 
-    # every open bucket of a pair holds both of its nodes: the pair is taken from one of them
-    left = _open(left, roots).join(short, "node")
-    probe = _named(left.where("root <> major"), "a_", "key")
-    other = _named(left, "b_", "key")
-    # a pair across two components that are not the largest is met from both sides: keep one
-    once = (F.col("b_root") == F.col("b_major")) | (F.col("a_node") < F.col("b_node"))
-    pairs = probe.join(other, "key").where((F.col("a_root") != F.col("b_root")) & once & _alike(percent) & _first_table())
-    pairs = pairs.select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b")).distinct()
+    nodes = durable(_open(left, roots).select("node", "root").distinct())
+    pairs = _prefix_pairs(sets, nodes, percent)
     edges = durable(edges.union(_confirmed(pairs, sets, percent)))
     roots = components(edges)
 
@@ -234,6 +251,23 @@ def links(docs: DataFrame, m: int = M, r: int = R, size: int = SHINGLE, percent:
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` of which each component keeps one document (its smallest id)."""
-    kept = links(docs, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """The rows of ``docs`` of which each component keeps one row: its smallest id.
+
+    Rows that share their id with another row, or have none, are told apart by id and text and
+    come after rows with an id of their own: equal rows are one, different texts under one id
+    are linked by their texts alone. Rows without words all stay, equal ones once.
+    """
+    doc_id = F.col("doc_id").cast("bigint")
+    again = durable(docs.groupBy(doc_id.alias("k")).agg(F.count("*").alias("n")).where("n > 1 or k is null").select("k"))
+    if again.isEmpty():
+        kept = links(docs, **options).where("kept").select(F.col("doc_id").alias("k"))
+        return docs.join(kept, doc_id == F.col("k"), "left_semi")
+    width = max(map(len, docs.columns))
+    key, repeated, k = ("_" * width + x for x in ("key", "repeated", "k"))  # longer than any name in use
+    other = broadcast_if_small(again.select(F.col("k").alias(k), F.lit(True).alias(repeated)))
+    own = F.lit(1 << 62) + F.pmod(F.xxhash64(doc_id, F.col("text").cast("string")), F.lit(1 << 62))
+    keyed = docs.join(other, doc_id.eqNullSafe(F.col(k)), "left").withColumn(key, F.when(F.col(repeated), own).otherwise(doc_id))
+    kept = links(keyed.select(F.col(key).alias("doc_id"), "text"), **options).where("kept").select(F.col("doc_id").alias(k)).distinct()
+    rows = keyed.drop(k).join(kept, F.col(key) == F.col(k), "left_semi")
+    once = rows.where(F.col(repeated)).dropDuplicates([key])
+    return rows.where(F.col(repeated).isNull()).union(once).select(*[F.col(f"`{c}`") for c in docs.columns])

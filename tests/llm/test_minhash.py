@@ -73,3 +73,49 @@ def test_one_document_of_each_group_stays(docs, prose):
     kept = minhash.deduplicate(docs([(4, text), (2, text + " end"), (8, prose(10, 80)), (6, None)]))
     assert sorted(r.doc_id for r in kept.collect()) == [2, 6, 8]
     assert kept.columns == docs([]).columns
+
+
+def test_pair_links_across_open_components(spark):
+    """Whatever the earlier rounds joined, the prefix filter finds every link between different roots."""
+    rng = random.Random(11)
+    sets = []
+    for family in range(6):
+        base = [rng.getrandbits(50) for _ in range(rng.randint(20, 60))]
+        for _ in range(15):
+            own = rng.randint(0, len(base) // 4)
+            sets.append(sorted(set(rng.sample(base, len(base) - rng.randint(0, 5))[own // 2 :] + [rng.getrandbits(50) for _ in range(own)])))
+    roots = {i: rng.choice([i, i % 15, i // 15]) for i in range(len(sets))}
+    frame = spark.createDataFrame(list(enumerate(sets)), "node bigint, members array<bigint>")
+    nodes = spark.createDataFrame(list(roots.items()), "node bigint, root bigint")
+    got = {(r.a, r.b) for r in minhash._prefix_pairs(frame, nodes, 75).collect()}
+    want = set()
+    for b, a in itertools.combinations(range(len(sets)), 2):
+        both = len(set(sets[a]) & set(sets[b]))
+        if roots[a] != roots[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            want.add((a, b))
+    assert want and want <= got and len(got) < 3 * len(want)
+
+
+def test_alike_but_unlinked_families_build_no_pairs(spark):
+    rng = random.Random(12)
+    base = [rng.getrandbits(50) for _ in range(300)]
+    sets = [sorted(base[:] + [rng.getrandbits(50) for _ in range(60)]) for _ in range(60)]  # similarity 300 / 420
+    frame = spark.createDataFrame(list(enumerate(sets)), "node bigint, members array<bigint>")
+    nodes = spark.createDataFrame([(i, i) for i in range(60)], "node bigint, root bigint")
+    assert minhash._prefix_pairs(frame, nodes, 75).count() == 0
+
+
+def test_repeated_rows_and_rows_without_an_id_are_told_apart_by_text(docs, prose):
+    a, b, c = prose(21, 80), prose(22, 80), prose(23, 80)
+    rows = [(5, a), (5, a), (7, a + " end"), (6, b), (6, c), (None, a), (None, c + " end"), (None, "one two"), (None, "one two"), (9, None), (9, None)]
+    kept = minhash.deduplicate(docs(rows))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert len(got) == 5 and (7, a + " end") in got and (6, b) in got and (None, "one two") in got and (9, None) in got
+    assert sum(t in (c, c + " end") for _, t in got) == 1
+
+
+def test_names_in_use_do_not_clash(spark, prose):
+    text = prose(24, 60)
+    frame = spark.createDataFrame([(1, text, 3, 4), (1, text, 3, 4), (None, text, 5, 6)], "doc_id bigint, text string, `key.x` int, _key int")
+    kept = minhash.deduplicate(frame)
+    assert kept.columns == frame.columns and kept.count() == 1
