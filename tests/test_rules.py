@@ -267,6 +267,20 @@ def test_signatures_tell_lists_apart(spark):
     assert sig["a"] == sig["d"] == sig[None] and len(set(sig.values())) == 7
 
 
+def test_signature_report_lists_every_item_in_order(spark, tmp_path):
+    from opskit.plans import catalog
+
+    rows_ = [(1, 3, "R"), (1, 1, "A"), (1, 1, "N"), (1, 2, None), (2, 1, "x,y"), (3, 1, "x"), (3, 2, "y"), (4, None, "\\"), (None, 7, "")]
+    spark.createDataFrame(rows_, "l_suppkey bigint, l_linenumber int, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r["l_suppkey"]: r["signature"] for r in catalog.QUERIES["H16_signature"](spark, str(tmp_path)).collect()}
+    assert got == {1: "N,\\N,R", 2: "x\\,y", 3: "x,y", 4: "\\\\", None: ""}
+    import duckdb
+
+    with duckdb.connect() as con:
+        con.sql(f"CREATE VIEW lineitem AS FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+        assert dict(con.sql(catalog.SQL["H16_signature"]).fetchall()) == got
+
+
 def test_pivot_of_three_thousand_labels(spark):
     df = spark.range(6000).selectExpr("id % 2 as k", "if(id = 5999, null, concat('c', lpad(id div 2, 4, '0'))) as label", "id as v")
     d = rs.pivot_dynamic(df, ["k"], "label", F.max("v"))
