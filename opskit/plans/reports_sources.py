@@ -39,7 +39,7 @@ def _(db):
     from opskit.operators.events import EVENT_SCHEMA, parse
     path = scratch_path(db.spark, "events-xml")
     wr.write_xml_events(parse(event_xml(db), "xml", EVENT_SCHEMA).select("doc.*"), path)
-    d = rd.read_xml_events(db.spark, path, "event", EVENT_SCHEMA)
+    d = rd.read_xml_events(db.spark, path, "event", EVENT_SCHEMA, columns=["_name", "_timestamp", "action"])
     app = F.get(F.filter("action", lambda a: a["_name"] == "client_app_name"), F.lit(0))["value"]
     return d.select(F.col("_name").alias("event_name"), F.to_timestamp_ntz("_timestamp").alias("time"), app.alias("client_app_name"),
                     F.lit(d.agg(F.max("event_no")).scalar()).alias("last_no"))

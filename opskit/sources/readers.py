@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opskit.functions import clock
 from opskit.operators.aggregates import union_sources
 from opskit.operators.joins import broadcast_if_small
-from opskit.operators.ordered import global_row_number
-from opskit.session import checkpoint_root, durable
+from opskit.operators.ordered import global_running_sum
+from opskit.session import checkpoint_root, durable, scratch_path
 from opskit.sources.records import records
 from opskit.sources.schemas import TRACE
 
@@ -36,17 +36,27 @@ def read_counter_log(data: DataFrame, details: DataFrame, display: DataFrame) ->
     return data.join(broadcast_if_small(details), "counter_id").join(broadcast_if_small(display), "guid")
 
 
-def read_xml_events(spark: SparkSession, path_glob: str, row_tag: str, schema: str, numbered: bool = True) -> DataFrame:
-    """Events of rolled-over XML files, numbered in (file, position) order."""
+def read_xml_events(spark: SparkSession, path_glob: str, row_tag: str, schema: str, numbered: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
+    """Events of rolled-over XML files, numbered in (file, position) order.
+
+    Every event is read; ``columns`` names the fields that are wanted, the others are not converted.
+    A split is read by one task from its beginning to its end, so an event's number follows from
+    its place in the split and the events of earlier splits, and no event is shuffled.
+    """
     df = (
         spark.read.format("xml").options(rowTag=row_tag, attributePrefix="_", valueTag="_text").schema(schema).load(path_glob)
-        .withColumn("file", F.col("_metadata.file_path"))
-        .withColumn("block", F.col("_metadata.file_block_start"))
+        .select(*(["*"] if columns is None else columns), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     )
     if not numbered:
         return df
-    placed = durable(df.withColumn("pos", F.monotonically_increasing_id()))  # parse the files once
-    return global_row_number(placed, ["file", "block", "pos"], "event_no").drop("block", "pos")
+    path = scratch_path(spark, "xml-numbered")
+    placed = df.withColumn("pos", F.monotonically_increasing_id())
+    placed.write.parquet(path)  # parse the files once
+    placed = spark.read.schema(placed.schema).parquet(path)
+    splits = placed.groupBy("file", "block").agg(F.min("pos").alias("start"), F.count("*").alias("events"))
+    upto = global_running_sum(splits, "events", ["file", "block"], "upto")
+    first = upto.select("file", "block", (F.col("upto") - F.col("events") - F.col("start") + 1).alias("first"))
+    return placed.join(broadcast_if_small(first), ["file", "block"]).select(*[c for c in df.columns if c != "block"], (F.col("pos") + F.col("first")).alias("event_no"))
 
 
 LOG_LINE = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(?:\.\d+)?)\s+(\S+)\s+(.*)$"

@@ -213,8 +213,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_xml_events(df: DataFrame, path: str, row_tag: str = "event", root_tag: str = "events") -> None:
-    """Rows as elements of well-formed XML files; ``_``-columns become attributes."""
-    df.write.mode("overwrite").format("xml").options(rowTag=row_tag, rootTag=root_tag, attributePrefix="_").save(path)
+    """Rows as elements of well-formed XML files without indentation; ``_``-columns become attributes."""
+    df.write.mode("overwrite").format("xml").options(rowTag=row_tag, rootTag=root_tag, attributePrefix="_", indent="").save(path)
 
 
 def write_documents(df: DataFrame, path: str, parent: Sequence[str], child: Sequence[str], tag: str, item_tag: str) -> None:

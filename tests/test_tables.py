@@ -1,5 +1,6 @@
 """Sinks, sources and streams: round trips, repeats and late rows."""
 
+import re
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -138,6 +139,21 @@ def test_xml_events_are_numbered(spark, tmp_path):
     assert sorted(r["event_no"] for r in got) == list(range(1, 51)) and {r["_id"] for r in got} == set(range(50))
 
 
+def test_xml_events_are_numbered_in_their_files(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").alias("_id"), F.concat(F.lit("n "), "id").alias("name"), F.array(F.lit("a"), F.lit(None)).alias("tag"))
+    path = tmp_path / "x"
+    wr.write_xml_events(df.repartition(5, "id"), str(path))
+    files = sorted(path.glob("part-*"))
+    assert sum(len(f.read_text().splitlines()) for f in files) <= 1000 + 3 * len(files)  # no indentation
+    ids = [int(x) for f in files for x in re.findall(r'<event id="(\d+)"', f.read_text())]
+    schema = "_id bigint, name string, tag array<string>"
+    whole, some = rd.read_xml_events(spark, str(path), "event", schema), rd.read_xml_events(spark, str(path), "event", schema, columns=["_id"])
+    assert whole.columns == ["_id", "name", "tag", "file", "event_no"] and some.columns == ["_id", "file", "event_no"]
+    for d in (whole, some):
+        assert [r["_id"] for r in d.orderBy("event_no").collect()] == ids and d.agg(F.max("event_no")).first()[0] == 1000
+    assert {(r["_id"], r["name"]) for r in whole.collect()} == {(i, f"n {i}") for i in range(1000)}
+
+
 @pytest.fixture
 def small_splits(spark):
     """Files are read by splits of 100 bytes, so that records lie across several of them."""
