@@ -88,3 +88,29 @@ def test_sorted_groups_are_in_order_and_complete():
 
         got = [set(g) for g in s.sorted_groups(data, np.array(at), np.zeros(len(at), int), length, 8)]
         assert sorted(map(sorted, got)) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+
+
+def test_tasks_hold_little_beside_the_heap(spark, docs):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        s.deduplicate(docs([(1, "a" * 900), (2, "b")]))
+        assert int(spark.conf.get(name)) <= 1000  # also for the result, which is written later
+    finally:
+        spark.conf.set(name, before)
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefgh ", k=2000)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(1000), "_text": range(1000), "offset": pa.array([0] * 1000, pa.int32()), "weight": [1] * 1000, "bytes": texts})
+    list(s._anchors(64, 400)([batch.slice(0, 10)]))
+    tracemalloc.start()
+    try:
+        for _ in s._anchors(64, 400)([batch]):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
