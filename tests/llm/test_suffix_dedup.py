@@ -114,3 +114,33 @@ def test_tasks_hold_little_beside_the_heap(spark, docs):
         assert tracemalloc.get_traced_memory()[1] < 60e6
     finally:
         tracemalloc.stop()
+
+
+def test_only_texts_with_wanted_segments_are_joined(spark, docs, monkeypatch):
+    rng = random.Random(12)
+    rows = corpus(40) + [(1000 + i, "".join(rng.choices("defghijklmnopqrstuvw", k=300))) for i in range(300)]
+    frame, joined = docs(rows), []
+    join = type(frame).join
+
+    def counted(self, *args, **more):
+        if "text" in self.columns:
+            joined.append(self.count())
+        return join(self, *args, **more)
+
+    monkeypatch.setattr(type(frame), "join", counted)
+    got = sorted((tuple(r)[:5] for r in s.deduplicate(frame, 40, (8, 24, 32, 40), 2).collect()), key=repr)
+    assert got == brute(rows, 40)
+    assert len(joined) > 2 and max(joined) < 150  # texts of their own go to no shuffle
+
+
+def test_filters_grow_with_the_hashes(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(s, "FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(s, "MOST_BITS", 1 << 20)
+    words = s._bits(spark.range(5000).selectExpr("xxhash64(id) AS h"), "h")
+    own, other = (np.array([r[0] for r in spark.range(a, a + 5000).selectExpr("xxhash64(id)").collect()]) for a in (0, 5000))
+    assert s._marked(words, own).all()
+    assert s._marked(words, other).mean() < 0.1
+    monkeypatch.setattr(s, "MOST_BITS", 1 << 12)
+    assert len(s._bits(spark.range(5000).selectExpr("xxhash64(id) AS h"), "h")) == 1 << 7
